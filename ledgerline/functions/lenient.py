@@ -10,7 +10,7 @@ def lenient_int(text: Column, default: int) -> Column:
     """Integer from number or numeric text, fraction cut off; the default otherwise."""
     number = text.try_cast("double")
     whole = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number))
-    return F.coalesce(whole.try_cast("int"), F.lit(default))
+    return F.coalesce(text.try_cast("int"), whole.try_cast("int"), F.lit(default))
 
 
 def lenient_double(text: Column, default: float) -> Column:

@@ -1,30 +1,41 @@
-"""Frequent item sets and association rules with MLlib."""
+"""Frequent item sets with MLlib, association rules by joins over the item sets."""
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth, FPGrowthModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.fpm import FPGrowth
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import round_half_up
 
 
-def fit_patterns(baskets_df: DataFrame, min_support: float = 0.01, min_conf: float = 0.1) -> FPGrowthModel:
-    return FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_conf).fit(
-        baskets_df.select("items"))
+def itemsets(baskets_df: DataFrame, min_support: float = 0.01, size: int | None = None) -> DataFrame:
+    """Frequent item sets with members in order: items, freq.
 
-
-def itemsets(model: FPGrowthModel, size: int | None = None) -> DataFrame:
-    """Frequent item sets with members in order: items, freq."""
+    The result is mined again by every action on it; write it once when it is used further. The
+    same goes for the baskets, which the mining reads more than once.
+    """
+    model = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets_df.select("items"))
     sets = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
     return sets if size is None else sets.filter(F.size("items") == size)
 
 
-def rules(model: FPGrowthModel, min_lift: float = 1.0) -> DataFrame:
-    """Rules with lift above the bound, with the number of baskets holding both sides."""
-    both = F.array_sort(F.concat("antecedent", "consequent"))
-    return (model.associationRules.filter(F.col("lift") > min_lift)
-            .withColumn("items", both)
-            .join(itemsets(model), "items")
-            .select(F.concat_ws("-", F.array_join(F.array_sort("antecedent"), "+"), F.array_join("consequent", "+")).alias("pair"),
+def rules(sets: DataFrame, n_baskets: Column, min_conf: float = 0.1, min_lift: float = 1.0) -> DataFrame:
+    """Rules with one consequent: pair, n (baskets with both sides), support, confidence, lift.
+
+    `sets` holds all frequent item sets, so every side of a rule is found in it by an equality join.
+    """
+    parts = sets.filter(F.size("items") >= 2).select(
+        "items", "freq", F.explode("items").alias("cons")).withColumn(
+        "ante", F.array_remove("items", F.col("cons")))
+    counts = sets.select(F.col("items").alias("ante"), F.col("freq").alias("_ante_n"))
+    singles = sets.filter(F.size("items") == 1).select(
+        F.get("items", F.lit(0)).alias("cons"), F.col("freq").alias("_cons_n"))
+    confidence = F.col("freq").cast("double") / F.col("_ante_n")
+    rated = (parts.join(counts, "ante").join(singles, "cons")
+             .withColumn("support", F.col("freq").cast("double") / n_baskets)
+             .withColumn("confidence", confidence)
+             .withColumn("lift", F.col("confidence") / (F.col("_cons_n").cast("double") / n_baskets)))
+    return (rated.filter((F.col("confidence") >= min_conf) & (F.col("lift") > min_lift))
+            .select(F.concat_ws("-", F.array_join("ante", "+"), "cons").alias("pair"),
                     F.col("freq").alias("n"),
                     round_half_up("support", 4).alias("support"),
                     round_half_up("confidence", 4).alias("confidence"),

@@ -23,28 +23,34 @@ def _is_blank(c: Column) -> Column:
 
 
 def parse_records(df: DataFrame, json_col: str = "value") -> DataFrame:
-    """Drop blank lines and add `doc`: the user record with lenient integers."""
-    raw = F.from_json(F.trim(json_col), schemas.USER_RECORD)
-    box = F.transform("_raw.box.characters", lambda item: F.from_json(item, schemas.BOX_ITEM))
-    teams = F.transform("_raw.record.teams", lambda item: F.from_json(item, schemas.TEAM_ITEM))
+    """Drop blank lines and add `doc`: the user record with lenient integers.
+
+    One typed parse serves nearly all records; only where it yields no list is the record parsed
+    again item by item.
+    """
+    loose = F.from_json(F.trim(json_col), schemas.LOOSE_RECORD)
+
+    def loose_team(item: Column) -> Column:
+        t = F.from_json(item, schemas.LOOSE_TEAM)
+        return F.struct(t["half"].alias("half"), t["team_index"].alias("team_index"), F.transform(
+            t["members"], lambda m: F.from_json(m, schemas.MEMBER_ITEM)).alias("members"))
+
+    box = F.coalesce("_raw.box.characters", F.transform(
+        loose["box"]["characters"], lambda item: F.from_json(item, schemas.BOX_ITEM)))
+    teams = F.coalesce("_raw.record.teams", F.transform(loose["record"]["teams"], loose_team))
     characters = F.transform("_box", lambda c: F.struct(
         c["name"].alias("name"),
         lenient_int(c["star"], -1).alias("star"),
         lenient_int(c["constellation"], -1).alias("constellation"),
         lenient_int(c["level"], -1).alias("level")))
-
-    def members(team: Column) -> Column:
-        parsed = F.transform(team["members"], lambda m: F.from_json(m, schemas.MEMBER_ITEM))
-        return F.transform(parsed, lambda m: F.struct(
-            m["name"].alias("name"), lenient_int(m["star"], 0).alias("star")))
-
     lineups = F.transform("_teams", lambda t: F.struct(
         lenient_int(t["half"], -1).alias("half"),
         lenient_int(t["team_index"], 0).alias("team_index"),
-        members(t).alias("members")))
+        F.transform(t["members"], lambda m: F.struct(
+            m["name"].alias("name"), lenient_int(m["star"], 0).alias("star"))).alias("members")))
     return (df.filter(F.trim(json_col) != "")
-            .withColumn("_raw", raw)
-            .withColumn("_box", box).withColumn("_teams", teams)
+            .withColumn("_raw", F.from_json(F.trim(json_col), schemas.USER_RECORD))
+            .withColumns({"_box": box, "_teams": teams})
             .withColumn("doc", F.struct(
                 F.col("_raw.uid").alias("uid"), F.col("_raw.version").alias("period"),
                 F.col("_raw.box.uid").alias("box_uid"), F.col("_raw.record.uid").alias("record_uid"),
@@ -63,7 +69,9 @@ def _entity_code(c: Column) -> Column:
 def classify_records(df: DataFrame, json_col: str = "value") -> DataFrame:
     """Nested record rules, first failing rule wins: adds `doc` and `reason` (null = accepted).
 
-    All rules look at one record, so this is a narrow map without any shuffle.
+    All rules look at one record, so this is a narrow map without any shuffle. Write the result
+    once (`route` or `stage`) before unfolding it: a filter on the reason over the raw lines would
+    parse them again for the filter.
     """
     doc = F.col("doc")
     names = [distinct_names(F.get(doc["teams"], i)["members"]["name"]) for i in (0, 1)]

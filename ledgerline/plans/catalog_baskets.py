@@ -201,10 +201,6 @@ def explode_tiers(spark, sf):
 
 # -- patterns ------------------------------------------------------------------------------------------
 
-def patterns(spark, sf):
-    return mn.fit_patterns(r.order_baskets(spark, sf))
-
-
 FREQ = """, total AS (SELECT count(DISTINCT (period, orderkey)) AS n FROM basket_items),
   single AS (SELECT entity, count(*) AS n FROM basket_items GROUP BY 1)"""
 
@@ -212,7 +208,8 @@ FREQ = """, total AS (SELECT count(DISTINCT (period, orderkey)) AS n FROM basket
 @query("h1_itemsets", sql(f"""{FREQ} SELECT item_a||'+'||item_b AS items, weight AS freq FROM basket_pairs
   WHERE weight >= ceil(0.01 * (SELECT n FROM total))""", "basket_pairs"))
 def itemsets(spark, sf):
-    return mn.itemsets(patterns(spark, sf), 2).select(F.array_join("items", "+").alias("items"), "freq")
+    sets = mn.itemsets(stage(spark, r.order_baskets(spark, sf), "baskets"), size=2)
+    return sets.select(F.array_join("items", "+").alias("items"), "freq")
 
 
 @query("h2_rules", sql(f"""{FREQ}, need AS (SELECT ceil(0.01 * n) AS least, n::DOUBLE AS n FROM total),
@@ -232,7 +229,9 @@ def itemsets(spark, sf):
   SELECT pair, n, {rnd('support', 4)} AS support, {rnd('confidence', 4)} AS confidence, {rnd('lift', 2)} AS lift
   FROM rated WHERE confidence >= 0.1 AND lift > 1""", "basket_pairs"))
 def rules(spark, sf):
-    return mn.rules(patterns(spark, sf))
+    baskets = stage(spark, r.order_baskets(spark, sf), "baskets")
+    sets = stage(spark, mn.itemsets(baskets), "itemsets")
+    return mn.rules(sets, baskets.agg(F.count("*")).scalar())
 
 
 # -- category mixes --------------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from ..functions import argmax_struct, normalize_label, shorten_label
 from ..operators import dashboards as db, draws as dr, quality as q
 from ..session import fresh_path
 from ..sources import readers as rd, sinks as sk
+from ..sources.sinks import stage
 from . import relations as r
 from .registry import query
 from .relations import pct, rnd, sql
@@ -16,6 +17,11 @@ def records(spark, sf):
     return q.classify_records(r.record_lines(spark, sf))
 
 
+def kept_records(spark, sf):
+    """The classified layer, written once before its records are unfolded."""
+    return stage(spark, records(spark, sf).select("doc", "reason"), "classified")
+
+
 @query("b9_record_quality", sql("SELECT period, uid, reason FROM records", "records"))
 def record_quality(spark, sf):
     return records(spark, sf).select("period", "uid", "reason")
@@ -34,7 +40,7 @@ OK_DETAIL = """, ok AS (SELECT d.* FROM detail d JOIN records r ON d.period=r.pe
 @query("b12_inventory_detail", sql(f"""{OK_DETAIL} SELECT period, uid::VARCHAR AS uid, entity, star, constellation, level,
   (h1=1 OR h2=1)::INTEGER AS used FROM ok""", "records", "dropped_first"))
 def inventory_detail(spark, sf):
-    return q.inventory_detail(records(spark, sf))
+    return q.inventory_detail(kept_records(spark, sf))
 
 
 @query("b13_lineup_detail", sql(f""", ok AS (SELECT d.* FROM detail d JOIN records r ON d.period=r.period AND d.uid=r.uid AND r.reason IS NULL),
@@ -42,7 +48,7 @@ def inventory_detail(spark, sf):
   SELECT period, uid::VARCHAR AS uid, half, (uid*half%10+1)::INTEGER AS basket_no, entity, star,
     row_number() OVER (PARTITION BY period, uid, half ORDER BY entity)::INTEGER AS pos FROM m""", "records"))
 def lineup_detail(spark, sf):
-    return q.lineup_detail(records(spark, sf))
+    return q.lineup_detail(kept_records(spark, sf))
 
 
 @query("b18_quality_counters", sql(f"""{OK_DETAIL} SELECT (SELECT count(*) FROM records) AS records,

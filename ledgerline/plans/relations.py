@@ -212,11 +212,12 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                  kept.alias("characters")).alias("box"),
         record.alias("record")))
     value = F.when(f == 1, '{"uid": ').when(f == 12, "   ").otherwise(doc)
-    return grouped.select("period", "uid", value.alias("value"))
+    # Written like any raw layer: the rules then read text, not the expressions that made it.
+    return stage(spark, grouped.select("period", "uid", value.alias("value")), "records")
 
 
 def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat usage lines with faults by row: key, value."""
+    """Flat usage lines with faults by row."""
     key = F.col("orderkey") + F.col("linenumber")
     f = key % 17
     fields = [
@@ -230,7 +231,7 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (F.when(f == 0, F.concat_ws(",", *fields[:6])).when(f == 10, "")
              .when(f == 11, "version,name,star,use,own,use_rate,own_rate,tier")
              .otherwise(F.concat_ws(",", *fields)))
-    return lines(spark, sf_dir).select(F.col("orderkey").alias("key"), value.alias("value"))
+    return stage(spark, lines(spark, sf_dir).select(value.alias("value")), "csv-lines")
 
 
 # ---------------------------------------------------------------------------------------- SQL twins

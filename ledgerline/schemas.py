@@ -17,15 +17,18 @@ ENTITY_SCORE = (
     "entity string, star int, ability decimal(3,1), look decimal(3,1), score decimal(3,1), "
     "votes int, favorite int")
 
-# Scalars are read as text so that 5 and "5" are the same value; list items stay raw JSON, so one
-# odd item does not blank its neighbours.
-USER_RECORD = (
-    "uid string, version string, "
-    "box struct<uid:string, characters:array<string>>, "
-    "record struct<uid:string, teams:array<string>>")
+# Scalars are read as text so that 5 and "5" are the same value.
 BOX_ITEM = "name string, star string, constellation string, level string"
-TEAM_ITEM = "half string, team_index string, members array<string>"
 MEMBER_ITEM = "name string, star string"
+USER_RECORD = (
+    "uid string, version string, "
+    f"box struct<uid:string, characters:array<struct<{BOX_ITEM}>>>, "
+    "record struct<uid:string, teams:array<struct<half:string, team_index:string, "
+    f"members:array<struct<{MEMBER_ITEM}>>>>>")
+
+# The same with list items as raw JSON, for records with an odd item: it must not blank its neighbours.
+LOOSE_RECORD = "box struct<characters:array<string>>, record struct<teams:array<string>>"
+LOOSE_TEAM = "half string, team_index string, members array<string>"
 
 BUILD_MESSAGE = (
     "role string, ename string, star int, uid string, level int, constellation int, "
