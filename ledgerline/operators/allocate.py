@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions import exact_sum, hash_unit
+from ..functions import hash_unit
 
 CELLS = 4096
 
@@ -11,23 +11,40 @@ CELLS = 4096
 def allocate(df: DataFrame, key: str, count: str, total: int) -> DataFrame:
     """Largest-remainder split of `total` over the keys, weight = square root of the count.
 
-    The cut among the remainders is found on a histogram of fixed size, so ordering only happens
-    inside one histogram cell at a time.
+    Equal remainders take turns by key hash. Remainders are ranked as distinct values, cell by
+    cell; only the keys that share the remainder at the cut are ordered at all, and those inside
+    hash cells. No step orders the keys as a whole, however many share a count.
     """
     weights = df.select(key, F.sqrt(F.col(count).cast("double")).alias("_w"))
-    whole = weights.agg(F.sum("_w")).scalar()
+    whole = weights.agg(F.sum(F.col("_w").cast("decimal(38,12)")).cast("double")).scalar()
     shares = (weights.withColumn("_share", F.col("_w") * F.lit(float(total)) / whole)
               .withColumn("_base", F.floor("_share"))
-              .withColumn("_rest", F.col("_share") - F.col("_base"))
-              .withColumn("_cell", F.floor(F.col("_rest") * CELLS)))
+              .withColumn("_rest", F.col("_share") - F.col("_base")))
     extra = shares.agg(F.lit(total) - F.sum("_base")).scalar()
-    sizes = shares.groupBy("_cell").agg(F.count("*").alias("_n"))
-    above = Window.orderBy(F.col("_cell").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_cell", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
-    place = Window.partitionBy("_cell").orderBy(F.col("_rest").desc(), key)
-    return (shares.join(offsets, "_cell")
-            .withColumn("_pos", F.col("_above") + F.row_number().over(place))
-            .select(key, (F.col("_base") + F.when(F.col("_pos") <= extra, 1).otherwise(0)).alias("quota")))
+    ranked = shares.join(_count_above(shares), "_rest").withColumn("_extra", extra)
+    safe = ranked.filter((F.col("_above") + F.col("_n") <= F.col("_extra")) | (F.col("_above") >= F.col("_extra")))
+    cut = (ranked.filter((F.col("_above") < F.col("_extra")) & (F.col("_extra") < F.col("_above") + F.col("_n")))
+           .withColumn("_h", hash_unit(F.col(key))).withColumn("_part", F.floor(F.col("_h") * CELLS)))
+    sizes = cut.groupBy("_part").agg(F.count("*").alias("_m"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select("_part", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_shift"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("_h", key)) + F.col("_shift")
+    taken = cut.join(shift, "_part").withColumn("_more", F.col("_above") + place <= F.col("_extra"))
+    return (safe.withColumn("_more", F.col("_above") < F.col("_extra")).select(key, "_base", "_more")
+            .unionByName(taken.select(key, "_base", "_more"))
+            .select(key, (F.col("_base") + F.col("_more").cast("int")).alias("quota")))
+
+
+def _count_above(shares: DataFrame) -> DataFrame:
+    """For each distinct remainder: how many keys have it and how many have a larger one."""
+    values = shares.groupBy("_rest").agg(F.count("*").alias("_n")).withColumn(
+        "_cell", F.floor(F.col("_rest") * CELLS))
+    cells = values.groupBy("_cell").agg(F.sum("_n").alias("_t"))
+    higher = Window.orderBy(F.col("_cell").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.select("_cell", F.coalesce(F.sum("_t").over(higher), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_cell").orderBy(F.col("_rest").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    return values.join(offsets, "_cell").select(
+        "_rest", "_n", (F.col("_offset") + F.coalesce(F.sum("_n").over(inside), F.lit(0))).alias("_above"))
 
 
 def weight_intervals(items: DataFrame, item: str, weight: str, parts: int = 256) -> DataFrame:

@@ -76,17 +76,8 @@ def explode_tiers(df: DataFrame, col: str = "doc") -> DataFrame:
                     lenient_int(F.try_variant_get("c", "$.constellation", "string"), 0).alias("constellation")))
 
 
-def _tiles(items: Column, width: int) -> Column:
-    """Cut a sorted array into chunks and pair the chunks; `b` is empty for a chunk with itself."""
-    last = F.floor((F.size(items) - 1) / width).cast("int")
-
-    def chunk(i: Column) -> Column:
-        return F.slice(items, i * width + 1, F.lit(width))
-
-    empty = F.filter(items, lambda _: F.lit(False))
-    return F.flatten(F.transform(F.sequence(F.lit(0), last), lambda i: F.transform(
-        F.sequence(i, last), lambda j: F.struct(
-            chunk(i).alias("a"), F.when(i == j, empty).otherwise(chunk(j)).alias("b")))))
+def _chunk(items: Column, i: Column, width: int) -> Column:
+    return F.slice(items, i * width + 1, F.lit(width))
 
 
 def cooccurrence(baskets_df: DataFrame, items: str = "items", min_weight: int = 1,
@@ -98,10 +89,15 @@ def cooccurrence(baskets_df: DataFrame, items: str = "items", min_weight: int =
     pair counts combine before their shuffle. `dim` (entity, attribute columns) is joined on both ends.
     """
     clean = sorted_set(F.filter(F.col(items), lambda n: n.isNotNull() & ~n.isin("", UNKNOWN)))
+    last = F.floor((F.size("_s") - 1) / tile).cast("int")
+    # Chunk i meets the chunks from i on; `b` stays empty for a chunk with itself.
     tiles = (baskets_df.select(clean.alias("_s")).filter(F.size("_s") >= 2)
-             .select(F.explode(_tiles(F.col("_s"), tile)).alias("t"))
-             .groupBy(F.col("t.a").alias("a"), F.col("t.b").alias("b"))
-             .agg(F.count("*").alias("n")))
+             .select("_s", F.explode(F.sequence(F.lit(0), last)).alias("_i"))
+             .select("_s", "_i", F.explode(F.sequence(F.col("_i"), last)).alias("_j"))
+             .select(_chunk(F.col("_s"), F.col("_i"), tile).alias("a"),
+                     F.when(F.col("_i") == F.col("_j"), F.slice("_s", 1, 0))
+                     .otherwise(_chunk(F.col("_s"), F.col("_j"), tile)).alias("b"))
+             .groupBy("a", "b").agg(F.count("*").alias("n")))
     inside = F.flatten(F.transform("a", lambda x, i: F.transform(
         F.slice("a", i + 2, F.size("a")), lambda y: F.struct(x.alias("x"), y.alias("y")))))
     across = F.flatten(F.transform("a", lambda x: F.transform(

@@ -34,17 +34,12 @@ def draw_stats(df: DataFrame, total_draws: int | Column = 5000, order: str = "id
 
 
 def explode_banner(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
-    """Banner lists to rows: for each list column, its content map becomes one row per entity."""
-    parts = []
-    for col, kind in kinds.items():
-        parts.append(df.select(F.explode(col).alias("b")).select(
-            F.col("b.version").alias("period"), F.lit(kind).alias("kind"),
-            F.col("b.start").alias("start_date"), F.col("b.end").alias("end_date"),
-            F.explode("b.content").alias("entity", "n")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Banner lists to rows in one pass: each list column's content maps become rows of its kind."""
+    tagged = [F.struct(F.lit(kind).alias("kind"), F.col(c).alias("list")) for c, kind in kinds.items()]
+    return (df.select(F.explode(F.array(*tagged)).alias("k"))
+            .select(F.col("k.kind").alias("kind"), F.explode("k.list").alias("b"))
+            .select(F.col("b.version").alias("period"), "kind", F.col("b.start").alias("start_date"),
+                    F.col("b.end").alias("end_date"), F.explode("b.content").alias("entity", "n")))
 
 
 def banner_totals(banners: DataFrame, by: str, default: str | None = None) -> DataFrame:

@@ -154,7 +154,7 @@ def rate_history(timeline: DataFrame, top: int = 15, by: str = "latest") -> Data
                     F.to_json(F.col("_h.use_rate")).alias("rates")))
 
 
-def score_deltas(scores: DataFrame, bucket_seconds: int = 86400) -> DataFrame:
+def score_deltas(scores: DataFrame, bucket_seconds: int = 600) -> DataFrame:
     """Change against the previous score of the same entity, 0 for the first.
 
     `scores`: entity, ts, id, score. The look-back runs inside (entity, time bucket) and only the

@@ -61,5 +61,5 @@ def share_by(df: DataFrame, col: str) -> DataFrame:
 
 def with_means(df: DataFrame, cols: list[str]) -> DataFrame:
     """Add the overall mean of each column next to every row."""
-    means = {f"mean_{c}": round_half_up(df.agg(exact_avg(c)).scalar(), 2) for c in cols}
-    return df.withColumns(means)
+    means = df.agg(F.struct(*[round_half_up(exact_avg(c), 2).alias(c) for c in cols])).scalar()
+    return df.withColumns({f"mean_{c}": means[c] for c in cols})

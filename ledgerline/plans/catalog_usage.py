@@ -402,19 +402,19 @@ def retain(spark, sf):
 
 # -- allocation --------------------------------------------------------------------------------------
 
-@query("e11_allocate", """WITH weights AS (SELECT o_custkey AS uid, sqrt(count(*)::DOUBLE) AS w FROM orders GROUP BY 1),
-  shares AS (SELECT uid, w * 5000e0 / (SELECT sum(w) FROM weights) AS share FROM weights)
-  SELECT uid, (floor(share) + CASE WHEN row_number() OVER (ORDER BY share-floor(share) DESC, uid)
+def md5_unit(x: str) -> str:
+    return f"(('0x'||substr(md5({x}),1,8))::BIGINT::DOUBLE/4294967296e0)"
+
+
+@query("e11_allocate", f"""WITH weights AS (SELECT o_custkey AS uid, sqrt(count(*)::DOUBLE) AS w FROM orders GROUP BY 1),
+  shares AS (SELECT uid, w * 5000e0 / (SELECT sum(w::DECIMAL(38,12))::DOUBLE FROM weights) AS share FROM weights)
+  SELECT uid, (floor(share) + CASE WHEN row_number() OVER (ORDER BY share-floor(share) DESC, {md5_unit('uid::VARCHAR')}, uid)
       <= 5000 - sum(floor(share)) OVER () THEN 1 ELSE 0 END)::BIGINT AS quota FROM shares""")
 def allocate(spark, sf):
     counts = r.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("uid")).agg(F.count("*").alias("n"))
     return al.allocate(counts, "uid", "n", 5000)
 
 
-def md5_unit(x: str) -> str:
-    return f"(('0x'||substr(md5({x}),1,8))::BIGINT::DOUBLE/4294967296e0)"
-
-
 @query("e12_weighted_pick", sql(f""", items AS (SELECT entity AS item, count(*)::DECIMAL(24,4) AS w, floor({md5_unit('entity')}*256) AS part FROM lines GROUP BY 1, 3),
   spans AS (SELECT item, (sum(w) OVER (ORDER BY part, item) - w)::DOUBLE / (SELECT sum(w)::DOUBLE FROM items) AS low,
             (sum(w) OVER (ORDER BY part, item))::DOUBLE / (SELECT sum(w)::DOUBLE FROM items) AS high FROM items)
