@@ -150,10 +150,13 @@ def basket_usage(lineups: DataFrame, users: Column, keys: list[str], ordered: bo
 
 
 def basket_shares(teams: DataFrame, users: Column, members: str = "members") -> DataFrame:
-    """Share of each member list (an array, order kept) among all lineups and among all users."""
-    total = teams.agg(F.count("*")).scalar()
-    return (teams.groupBy(F.array_join(members, "+").alias("basket")).agg(F.count("*").alias("n"))
-            .withColumn("use_rate", percent("n", total, 1))
+    """Share of each member list (an array, order kept) among all lineups and among all users.
+
+    The total is summed from the counts, so both come from the same shuffle.
+    """
+    counted = teams.groupBy(F.array_join(members, "+").alias("basket")).agg(F.count("*").alias("n"))
+    total = counted.agg(F.sum("n")).scalar()
+    return (counted.withColumn("use_rate", percent("n", total, 1))
             .withColumn("has_rate", percent("n", users, 1)))
 
 
@@ -161,10 +164,9 @@ def pair_usage(lineups: DataFrame, keys: list[str], top: int = 10) -> DataFrame:
     """How often two lineups of a record go together, with the share of all records."""
     records = lineups.groupBy(*keys).agg(
         F.min("basket_no").alias("a"), F.max("basket_no").alias("b"))
-    total = lineups.agg(F.count_distinct(*keys)).scalar()
-    return (records.groupBy("a", "b").agg(F.count("*").alias("n"))
-            .withColumn("pct", percent("n", total, 1))
-            .orderBy(F.col("n").desc(), "a", "b").limit(top))
+    counted = records.groupBy("a", "b").agg(F.count("*").alias("n"))
+    total = counted.agg(F.sum("n")).scalar()
+    return counted.withColumn("pct", percent("n", total, 1)).orderBy(F.col("n").desc(), "a", "b").limit(top)
 
 
 def leading_baskets(baskets_df: DataFrame, rate: str = "use_rate", top: int = 100) -> DataFrame:
@@ -200,11 +202,13 @@ def feasible_baskets(leading: DataFrame, inventory: DataFrame) -> DataFrame:
             .filter(F.col("_have") == F.col("_need")).select("uid", "no"))
 
 
-def feasible_pairs(pairs: DataFrame, leading: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Disjoint pairs a user can field: both baskets must be feasible for that user."""
-    able = feasible_baskets(leading, inventory)
-    first = able.select("uid", F.col("no").alias("a"))
-    second = able.select("uid", F.col("no").alias("b"))
+def feasible_pairs(pairs: DataFrame, feasible: DataFrame) -> DataFrame:
+    """Disjoint pairs a user can field: both baskets must be feasible for that user.
+
+    `feasible` is the result of `feasible_baskets`; it is read twice, so write it once before.
+    """
+    first = feasible.select("uid", F.col("no").alias("a"))
+    second = feasible.select("uid", F.col("no").alias("b"))
     return (first.join(pairs.select("a", "b"), "a")
             .join(second, ["uid", "b"]).select("uid", "a", "b"))
 

@@ -16,20 +16,22 @@ def draw_counts(df: DataFrame, item: str = "item") -> DataFrame:
 def draw_stats(df: DataFrame, total_draws: int | Column = 5000, order: str = "id") -> DataFrame:
     """Top-star draws per item plus a summary row: five, up, type of the first row, overall rate.
 
-    `df` holds the kept draws only. The summary is rolled up from the per-item rows.
+    `df` holds the kept draws only. The summary is rolled up from the per-item rows. The overall
+    rate comes from the same per-item aggregate, whole, so that its shuffle is shared.
     """
     per_item = df.groupBy("item").agg(
         F.count("*").alias("five"), F.count(F.when(F.col("is_up"), 1)).alias("up"),
         F.min_by(F.coalesce("type", F.lit("role")), order).alias("type"))
     total = total_draws if isinstance(total_draws, Column) else F.lit(total_draws)
-    five_total = df.agg(F.count("*")).scalar()
+    whole = per_item.agg(F.struct(F.sum("five").alias("five"), F.sum("up").alias("up"),
+                                  F.max("type").alias("type"))).scalar()
     rolled = per_item.rollup("item").agg(
         F.grouping("item").alias("_all"), F.sum("five").alias("five"), F.sum("up").alias("up"),
         F.max("type").alias("type"))
     return rolled.select(
         F.when(F.col("_all") == 1, ALL).otherwise(F.col("item")).alias("item"),
         F.when(F.col("_all") == 1, "summary").otherwise(F.col("type")).alias("type"),
-        "five", "up", percent(five_total, total, 2).alias("five_rate"),
+        "five", "up", percent(whole["five"], total, 2).alias("five_rate"),
         total.cast("bigint").alias("total"))
 
 

@@ -1,7 +1,7 @@
 """Record quality: classify, keep the reason of every reject, unfold the accepted records."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schemas
 from ..functions import clamp, distinct_names, lenient_int, percent
@@ -199,14 +199,13 @@ def batch_quality(batches: DataFrame, keep: int = 100) -> DataFrame:
     `batches` has batch (ordered id), total, rejected. The running totals are taken backwards from
     the grand totals, so only the kept rows are ever ordered.
     """
-    from pyspark.sql import Window
     newest = batches.orderBy(F.col("batch").desc()).limit(keep)
-    grand = [batches.agg(F.sum(c)).scalar() for c in ("total", "rejected")]
+    grand = batches.agg(F.struct(F.sum("total").alias("total"), F.sum("rejected").alias("rejected"))).scalar()
     later = Window.orderBy(F.col("batch").desc()).rowsBetween(Window.unboundedPreceding, -1)
     run = newest.select(
         "batch", "total", "rejected",
-        (grand[0] - F.coalesce(F.sum("total").over(later), F.lit(0))).alias("cum_total"),
-        (grand[1] - F.coalesce(F.sum("rejected").over(later), F.lit(0))).alias("cum_rejected"))
+        (grand["total"] - F.coalesce(F.sum("total").over(later), F.lit(0))).alias("cum_total"),
+        (grand["rejected"] - F.coalesce(F.sum("rejected").over(later), F.lit(0))).alias("cum_rejected"))
     return run.select(
         "batch", "total", "rejected",
         percent(F.col("total") - F.col("rejected"), F.col("total"), 2).alias("clean_rate"),

@@ -28,10 +28,6 @@ def latest_period(df: DataFrame) -> Column:
     return df.agg(F.max("period")).scalar()
 
 
-def previous_period(df: DataFrame) -> Column:
-    return df.filter(F.col("period") < latest_period(df)).agg(F.max("period")).scalar()
-
-
 def latest_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col("period") == latest_period(df))
 
@@ -104,20 +100,24 @@ def momentum(rates: DataFrame, latest: str | None = None, previous: str | None =
              min_change: float = 1.0) -> DataFrame:
     """Change of the max-normalised rate between two periods, missing sides as 0.
 
-    Both periods are summed side by side in one aggregate, which gives the rows of a full outer
-    join without joining.
+    Without labels the two greatest ones are compared. Both periods are summed side by side in one
+    aggregate, which gives the rows of a full outer join without joining.
     """
-    now = F.lit(latest) if latest is not None else latest_period(rates)
-    then = F.lit(previous) if previous is not None else previous_period(rates)
-    labelled = rates.filter(F.col("period").isin(latest, previous)) if latest and previous else \
-        rates.filter((F.col("period") == now) | (F.col("period") == then))
-    sums = labelled.groupBy("entity").agg(
-        F.coalesce(exact_sum(F.when(F.col("period") == now, F.col("rate"))), F.lit(0.0)).alias("_curr"),
-        F.coalesce(exact_sum(F.when(F.col("period") == then, F.col("rate"))), F.lit(0.0)).alias("_prev"))
-    top = sums.agg(F.struct(F.max("_curr").alias("curr"), F.max("_prev").alias("prev"))).scalar()
-    return (sums.select("entity",
-                        percent("_prev", top["prev"], 1).alias("prev_rate"),
-                        percent("_curr", top["curr"], 1).alias("curr_rate"))
+    if latest is None or previous is None:
+        two = rates.select("period").distinct().orderBy(F.col("period").desc()).limit(2)
+        two = two.withColumn("_back", F.row_number().over(Window.orderBy(F.col("period").desc())))
+        picked = rates.join(two, "period")
+    else:
+        picked = rates.filter(F.col("period").isin(latest, previous)).withColumn(
+            "_back", F.when(F.col("period") == latest, 1).otherwise(2))
+    sums = picked.groupBy("_back", "entity").agg(exact_sum("rate").alias("_sum"))
+    tops = sums.groupBy("_back").agg(F.max("_sum").alias("_top"))
+    norm = sums.join(tops, "_back").withColumn("_norm", percent("_sum", "_top", 1))
+
+    def side(back: int) -> Column:
+        return F.coalesce(F.max(F.when(F.col("_back") == back, F.col("_norm"))), F.lit(0.0))
+
+    return (norm.groupBy("entity").agg(side(2).alias("prev_rate"), side(1).alias("curr_rate"))
             .withColumn("change", round_half_up(F.col("curr_rate") - F.col("prev_rate"), 1))
             .filter(F.abs("change") >= min_change))
 

@@ -54,9 +54,9 @@ def entity_usage_once(inventory: DataFrame, lineups: DataFrame) -> DataFrame:
 
 def share_by(df: DataFrame, col: str) -> DataFrame:
     """Rows per value with the share of the total in percent."""
-    total = df.agg(F.count("*")).scalar()
-    return (df.groupBy(col).agg(F.count("*").alias("n"))
-            .withColumn("share", percent("n", total, 2)))
+    counted = df.groupBy(col).agg(F.count("*").alias("n"))
+    total = counted.agg(F.sum("n")).scalar()
+    return counted.withColumn("share", percent("n", total, 2))
 
 
 def with_means(df: DataFrame, cols: list[str]) -> DataFrame:

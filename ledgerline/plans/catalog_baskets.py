@@ -88,7 +88,8 @@ def basket_entity_rates(spark, sf):
 def entity_usage_once(spark, sf):
     facts = r.lines(spark, sf)
     owned = facts.filter("ostatus = 'F'").select("uid", "entity", "star", F.nullif(F.col("quantity").cast("int"), F.lit(50)).alias("copies"))
-    return us.entity_usage_once(owned, facts.filter("ostatus = 'O'").select("uid", "entity", "star"))
+    used = stage(spark, facts.filter("ostatus = 'O'").select("uid", "entity", "star").distinct(), "used")
+    return us.entity_usage_once(owned, used)
 
 
 @query("d26_pair_usage", """WITH p AS (SELECT year(o_orderdate) AS y, o_custkey, min(o_orderkey%20+1) AS a, max(o_orderkey%20+1) AS b
@@ -118,7 +119,8 @@ def disjoint_pairs(spark, sf):
   SELECT x.uid, d.a::INTEGER AS a, d.b::INTEGER AS b FROM disjoint d JOIN able x ON x.no=d.a JOIN able y ON y.no=d.b AND y.uid=x.uid""", "lead_baskets"))
 def feasible_pairs(spark, sf):
     lead = leading(spark, sf)
-    return bk.feasible_pairs(bk.disjoint_pairs(lead), lead, r.lines(spark, sf))
+    able = stage(spark, bk.feasible_baskets(lead, r.lines(spark, sf)), "feasible")
+    return bk.feasible_pairs(bk.disjoint_pairs(lead), able)
 
 
 BASKET_SIDES = """, sized AS (SELECT any_value(ostatus) AS ostatus, string_agg(entity, '+' ORDER BY entity) AS basket
@@ -130,7 +132,7 @@ BASKET_SIDES = """, sized AS (SELECT any_value(ostatus) AS ostatus, string_agg(e
 def basket_side(spark, sf, status, sep):
     """Lineup-sized baskets of one order status; the two sides list their members in opposite order."""
     facts = r.lines(spark, sf).filter(F.col("ostatus") == status)
-    sets = bk.baskets(facts, ["orderkey"], "entity").filter(F.size("items") <= r.LINEUP_SIZE)
+    sets = stage(spark, bk.baskets(facts, ["orderkey"], "entity").filter(F.size("items") <= r.LINEUP_SIZE), "side")
     total = sets.agg(F.count("*")).scalar()
     rate = F.floor(F.col("n") * 100.0 / total * 100 + 0.5) / 100.0
     members = F.col("items") if sep == "+" else F.reverse("items")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..operators import dashboards as db
 from ..operators.timeline import recent_values
 from ..session import fresh_path
+from ..sources.sinks import stage
 from ..streaming import runner as rn, views as vw
 from . import relations as r
 from .registry import query
@@ -110,6 +111,18 @@ def score_ranking(spark, sf):
     return rn.current(spark, f"{base}/top").select("entity", "score", "star", "ability", "look")
 
 
+@query("j9_ranking_deltas", sql(f""", half AS (SELECT *, ts < TIMESTAMP '2024-01-16' AS early FROM live),
+  before_top AS (SELECT entity, max_by(score, (ts, id)) AS score FROM half WHERE early GROUP BY 1 ORDER BY score DESC, entity LIMIT 6),
+  now_top AS (SELECT entity, max_by(score, (ts, id)) AS score FROM half GROUP BY 1 ORDER BY score DESC, entity LIMIT 6)
+  SELECT n.entity, n.score, coalesce({rnd('n.score-b.score', 1)}, 0e0) AS delta FROM now_top n LEFT JOIN before_top b ON n.entity=b.entity""", "live"))
+def ranking_deltas(spark, sf):
+    """Two showings: after the first half of the month and at its end."""
+    scores = r.live_scores(spark, sf)
+    _, shown = vw.ranking(vw.latest_scores(scores.filter(F.col("ts") < "2024-01-16")))
+    top, _ = vw.ranking(vw.latest_scores(scores), shown)
+    return top.select("entity", "score", "delta")
+
+
 @query("j8_score_history", sql("""SELECT entity, count(*) AS n_kept, string_agg(CASE WHEN rn <= 22 THEN score::VARCHAR END, ',' ORDER BY ts, id) AS shown
   FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY ts DESC, id DESC) AS rn FROM live) WHERE rn <= 60 GROUP BY 1""", "live"))
 def score_history(spark, sf):
@@ -135,7 +148,7 @@ def score_history(spark, sf):
 def detail_snapshot(spark, sf):
     builds = r.builds(spark, sf)
     as_of = builds.agg(F.date_trunc("hour", F.max("ts"))).scalar()
-    counted = vw.pane_counts(builds, f"{QUARTER} seconds")
+    counted = stage(spark, vw.pane_counts(builds, f"{QUARTER} seconds"), "panes")
     return vw.detail_snapshot(counted, as_of, 86400).withColumn("snapshot_time", at("snapshot_time"))
 
 
@@ -147,7 +160,7 @@ def detail_snapshot(spark, sf):
   SELECT h.entity, (SELECT strftime(make_timestamp(max(ws)*1000000), '%Y-%m-%d %H:%M:%S') FROM hot_rows) AS snapshot_time,
     avg_constellation, avg_damage, coalesce(weapons, '[]') AS weapons FROM h LEFT JOIN m ON h.entity=m.entity""", "hot_rows"))
 def snapshot(spark, sf):
-    counted = vw.pane_counts(r.builds(spark, sf), f"{QUARTER} seconds")
+    counted = stage(spark, vw.pane_counts(r.builds(spark, sf), f"{QUARTER} seconds"), "panes")
     hot = vw.hot_entities(counted, HOUR, QUARTER)
     last = hot.agg(F.max("window_start")).scalar()
 

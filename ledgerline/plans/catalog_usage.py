@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import percent, round_half_up
 from ..operators import allocate as al, dashboards as db, maintenance as mt, reconcile as rc, timeline as tl
 from ..operators import usage as us
+from ..sources import readers as rd
+from ..sources.sinks import stage as write_once
 from . import relations as r
 from .registry import query
 from .relations import eavg, esum, pct, rnd, sql
@@ -325,7 +327,7 @@ def search_page(spark, sf):
 
 @query("g1_stack", sql("""SELECT period, entity, use_rate, 'first' AS source FROM usage_f
   UNION ALL SELECT period, entity, use_rate, 'second' FROM usage_o""", "usage_f", "usage_o"))
-def stack(spark, sf):
+def stack_sources(spark, sf):
     a, b = (r.usage(spark, sf, s).select("period", "entity", "use_rate") for s in ("F", "O"))
     return db.stack(a, b, tags=["first", "second"])
 
@@ -353,6 +355,38 @@ def top_scores(spark, sf):
         "entity", "score", "ability", "look", "votes")
 
 
+@query("g2_distinct_keys", sql("SELECT DISTINCT period, ostatus FROM lines", "lines"))
+def distinct_keys(spark, sf):
+    return db.distinct_keys(r.lines(spark, sf), ["period", "ostatus"])
+
+
+@query("b15_fill_zero", """SELECT p_partkey, coalesce(sum(l_quantity)::BIGINT, 0) AS qty, coalesce(count(l_orderkey), 0) AS n
+  FROM part LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity >= 50) ON l_partkey=p_partkey GROUP BY 1""")
+def fill_zero(spark, sf):
+    bulk = (r.table(spark, sf, "lineitem").filter("l_quantity >= 50").groupBy(F.col("l_partkey").alias("p_partkey"))
+            .agg(F.sum("l_quantity").cast("bigint").alias("qty"), F.count("*").alias("n")))
+    return r.table(spark, sf, "part").select("p_partkey").join(bulk, "p_partkey", "left").na.fill(0, ["qty", "n"])
+
+
+@query("i10_prefix_label", """SELECT p_partkey, CASE WHEN p_type LIKE 'ECONOMY%' THEN 'v1' WHEN p_type LIKE 'PROMO%' THEN 'v2' END AS label FROM part""")
+def prefix_label(spark, sf):
+    labels = {"ECONOMY": "v1", "PROMO": "v2"}
+    return r.table(spark, sf, "part").select("p_partkey", rd.prefix_label(F.col("p_type"), labels).alias("label"))
+
+
+@query("g4_array_sets", sql("""SELECT uid, len(list_intersect(a, b))::INTEGER AS common, (len(a) - len(list_intersect(a, b)))::INTEGER AS only_a,
+    list_has_any(a, b) AS overlap FROM (SELECT uid, list(DISTINCT entity) FILTER (h1=1) AS a, list(DISTINCT entity) FILTER (h2=1) AS b FROM detail GROUP BY 1)
+  WHERE a IS NOT NULL AND b IS NOT NULL""", "detail"))
+def array_sets(spark, sf):
+    # Sets of entities per user: as long as the entity vocabulary at most.
+    sets = r.detail_of(r.lines(spark, sf)).groupBy("uid").agg(
+        F.collect_set(F.when(F.col("h1") == 1, F.col("entity"))).alias("a"),
+        F.collect_set(F.when(F.col("h2") == 1, F.col("entity"))).alias("b"))
+    return sets.filter((F.size("a") > 0) & (F.size("b") > 0)).select(
+        "uid", F.size(F.array_intersect("a", "b")).alias("common"), F.size(F.array_except("a", "b")).alias("only_a"),
+        F.arrays_overlap("a", "b").alias("overlap"))
+
+
 # -- table maintenance ------------------------------------------------------------------------------
 
 @query("a15_replace_partition", sql("""SELECT period, entity, use_rate FROM usage WHERE period NOT IN (SELECT period FROM usage_o)
@@ -411,7 +445,8 @@ def md5_unit(x: str) -> str:
   SELECT uid, (floor(share) + CASE WHEN row_number() OVER (ORDER BY share-floor(share) DESC, {md5_unit('uid::VARCHAR')}, uid)
       <= 5000 - sum(floor(share)) OVER () THEN 1 ELSE 0 END)::BIGINT AS quota FROM shares""")
 def allocate(spark, sf):
-    counts = r.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("uid")).agg(F.count("*").alias("n"))
+    counts = write_once(spark, r.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("uid"))
+                   .agg(F.count("*").alias("n")), "counts")
     return al.allocate(counts, "uid", "n", 5000)
 
 
@@ -421,5 +456,5 @@ def allocate(spark, sf):
   SELECT o_orderkey, item FROM (SELECT o_orderkey, {md5_unit("'pick'||o_orderkey::VARCHAR")} AS u FROM orders) k
   JOIN spans ON u >= low AND u < high""", "lines"))
 def weighted_pick(spark, sf):
-    items = r.lines(spark, sf).groupBy("entity").agg(F.count("*").alias("n"))
+    items = write_once(spark, r.lines(spark, sf).groupBy("entity").agg(F.count("*").alias("n")), "weights")
     return al.weighted_pick(r.table(spark, sf, "orders"), "o_orderkey", items, "entity", "n", seed="pick")

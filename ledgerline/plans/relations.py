@@ -146,12 +146,12 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def banners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Draws per quarter, segment and entity."""
+    """Draws per quarter, segment and entity: a table of its own, written once."""
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("uid"), F.col("c_mktsegment").alias("kind"))
     quarter = F.concat_ws("Q", F.year("o_orderdate").cast("string"), F.quarter("o_orderdate").cast("string"))
-    return (lines(spark, sf_dir).join(customer, "uid")
-            .groupBy(quarter.alias("period"), "kind", "entity").agg(F.count("*").alias("n")))
+    return stage(spark, lines(spark, sf_dir).join(customer, "uid")
+                 .groupBy(quarter.alias("period"), "kind", "entity").agg(F.count("*").alias("n")), "banners")
 
 
 def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:

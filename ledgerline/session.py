@@ -35,6 +35,18 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+def staged_root(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables."""
+    return f"{shared_dir(spark)}/ledgerline/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/ledgerline/{label}-{uuid.uuid4().hex}"
+    return f"{staged_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Drop this application's intermediate tables; call it when no result is read any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(staged_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

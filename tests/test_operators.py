@@ -149,7 +149,7 @@ def test_disjoint_and_feasible_pairs(spark):
     owned = {"u": "abcd", "v": "abce", "t": "a"}
     inv = spark.createDataFrame([(u, e) for u, es in owned.items() for e in es + es[0]], "uid string, entity string")
     name = {no: k for k, no in number.items()}
-    assert {(r.uid, r.a, r.b) for r in bk.feasible_pairs(pairs, lead, inv).collect()} == {
+    assert {(r.uid, r.a, r.b) for r in bk.feasible_pairs(pairs, bk.feasible_baskets(lead, inv)).collect()} == {
         (u, a, b) for u, es in owned.items() for a, b in want if set(sets[name[a]] + sets[name[b]]) <= set(es)}
 
 
