@@ -13,15 +13,6 @@ def lenient_int(text: Column, default: int) -> Column:
     return F.coalesce(text.try_cast("int"), whole.try_cast("int"), F.lit(default))
 
 
-def lenient_double(text: Column, default: float) -> Column:
-    return F.coalesce(text.try_cast("double"), F.lit(default))
-
-
-def text_of(doc: Column, path: str) -> Column:
-    """String at a variant path; null where absent, JSON null or of another kind."""
-    return F.try_variant_get(doc, path, "string")
-
-
 def alternate_fields(doc: Column, paths: Sequence[str], kind: str, default) -> Column:
     """First path that yields a value of the wanted type, else the default."""
     return F.coalesce(*[F.try_variant_get(doc, p, kind) for p in paths], F.lit(default).cast(kind))

@@ -232,5 +232,5 @@ def blend_baskets(base: DataFrame, other: DataFrame, w_base: float = 79, w_other
                   F.when(F.col("_o").isNull(), F.col(c))
                   .otherwise(weighted(F.col(c), F.col(f"_o.{c}"), w_base, w_other)).alias(c)
                   for c in ("use_rate", "has_rate")]))
-    extra = other.join(base.select("basket"), "basket", "left_anti").select("basket", "use_rate", "has_rate")
+    extra = other.join(base.select("basket").distinct(), "basket", "left_anti").select("basket", "use_rate", "has_rate")
     return merged.unionByName(extra)

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import bubble_size, exact_avg, percent, quadrant_label, round_half_up
 from .timeline import latest_rows
 
+# Largest per-group limit that Spark applies before the shuffle (its windowGroupLimitThreshold).
+PRE_LIMIT = 1000
+HASH_PARTS = 256
+
 QUADRANTS = ("praised_popular", "praised", "popular", "low")
 
 
@@ -13,13 +17,19 @@ def top_n(df: DataFrame, n: int, order: list[tuple[str, str]], per: str | None =
           name: str | None = None) -> DataFrame:
     """First n rows by the order, overall or per group. Order items are (column, "asc"/"desc").
 
-    Overall it is a distributed limit; per group the row limit also runs before the shuffle.
+    Overall it is a distributed limit; per group the row limit also runs before the shuffle. Spark
+    does so up to a number of rows; for more, a limit per hash part of each group goes first.
     """
     keys = [F.col(c).desc() if d == "desc" else F.col(c).asc() for c, d in order]
     if per is None:
         head = df.orderBy(*keys).limit(n)
         return head if name is None else head.withColumn(name, F.row_number().over(Window.orderBy(*keys)))
     num = name or "_rn"
+    if n > PRE_LIMIT:
+        part = F.pmod(F.xxhash64(*[F.col(c) for c, _ in order]), F.lit(HASH_PARTS))
+        within = Window.partitionBy(per, "_part").orderBy(*keys)
+        df = (df.withColumn("_part", part).withColumn("_pre", F.row_number().over(within))
+              .filter(F.col("_pre") <= n).drop("_part", "_pre"))
     out = (df.withColumn(num, F.row_number().over(Window.partitionBy(per).orderBy(*keys)))
            .filter(F.col(num) <= n))
     return out if name else out.drop(num)

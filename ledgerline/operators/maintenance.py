@@ -35,7 +35,7 @@ def insert_ignore(old: DataFrame, new: DataFrame, keys: list[str], order: list[s
     """Keep what is there; of the new rows only the first per unknown key comes in."""
     first = Window.partitionBy(*keys).orderBy(*order)
     fresh = (new.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") == 1).drop("_rn")
-             .join(old.select(*keys), keys, "left_anti"))
+             .join(old.select(*keys).distinct(), keys, "left_anti"))
     return old.unionByName(fresh.select(*old.columns))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schemas
-from ..functions import clamp, distinct_names, lenient_int, percent
+from ..functions import distinct_names, lenient_int, percent
 
 # Fixed values of the rule set.
 VALID_STARS = (4, 5)
@@ -189,10 +189,6 @@ def keep_star(df: DataFrame, star: int = 5, missing: int = 3, col: str = "star")
     return df.filter(F.coalesce(F.col(col), F.lit(missing)) == star)
 
 
-def clamp_levels(df: DataFrame, col: str = "level") -> DataFrame:
-    return df.withColumn(col, clamp(col, *LEVEL_RANGE))
-
-
 def batch_quality(batches: DataFrame, keep: int = 100) -> DataFrame:
     """Clean rate per batch and cumulative clean rate, for the newest `keep` batches.
 

@@ -26,7 +26,7 @@ def blend(base: DataFrame, other: DataFrame, key: str, cols: list[str], w_base:
 
 def missing_keys(fact: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of the facts that the dimension lacks."""
-    return fact.select(*keys).distinct().join(dim.select(*keys), keys, "left_anti")
+    return fact.select(*keys).distinct().join(dim.select(*keys).distinct(), keys, "left_anti")
 
 
 def reconcile(source: DataFrame, actual: DataFrame, key: str = "entity", tol: float = 3.0) -> DataFrame:

@@ -23,7 +23,7 @@ def at(col):
 def panes(spark, sf):
     """Pane counts of the build stream, drained to a table."""
     stream = vw.with_watermark(r.builds_of(r.event_stream(spark, sf)), "ts", "1 hour")
-    return rn.drain(spark, vw.pane_counts(stream, f"{QUARTER} seconds"), "panes")
+    return rn.drain_updates(spark, vw.pane_counts(stream, f"{QUARTER} seconds"), "panes", vw.PANE_KEYS)
 
 
 HOT = f"""SELECT {WS} AS window_start, entity, count(*) AS n, max_by(star, id) AS star, max_by(ename, id) AS ename,
@@ -89,7 +89,7 @@ FIVE = "count(CASE WHEN star=5 OR type IN ('role','weapon') THEN 1 END)"
   SELECT {WS.replace('ws*', 't.ws*')} AS window_start, draws, five_rate, top_item, items FROM t JOIN i ON t.ws=i.ws""", "draws"))
 def draw_windows(spark, sf):
     stream = vw.with_watermark(r.draws_of(r.event_stream(spark, sf)), "ts", "1 hour")
-    counted = rn.drain(spark, vw.draw_panes(stream, "1 hour"), "draws")
+    counted = rn.drain_updates(spark, vw.draw_panes(stream, "1 hour"), "draws", vw.DRAW_KEYS)
     text = F.array_join(F.transform("items", lambda e: F.concat(e["name"], F.lit(":"), e["count"])), ",")
     return vw.draw_windows(counted, 50).select(at("window_start"), "draws", "five_rate", "top_item", text.alias("items"))
 

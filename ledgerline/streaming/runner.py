@@ -44,6 +44,24 @@ def drain(spark: SparkSession, view: DataFrame, label: str, mode: str = "complet
     return current(spark, f"{base}/out")
 
 
+def latest_updates(table: DataFrame, keys: list[str]) -> DataFrame:
+    """The last value of every key in a log of update-mode batches."""
+    values = [c for c in table.columns if c not in keys and c != "batch"]
+    return (table.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v"))
+            .select(*keys, "_v.*"))
+
+
+def drain_updates(spark: SparkSession, view: DataFrame, label: str, keys: list[str]) -> DataFrame:
+    """Run a view in update mode over all available input and return the last value per key.
+
+    Only changed keys are written per batch, and keys behind the watermark leave the state.
+    """
+    base = fresh_path(spark, label)
+    query = start(view, lambda df, i: publish(df, i, f"{base}/out"), f"{base}/checkpoint", "update")
+    query.awaitTermination()
+    return latest_updates(spark.read.parquet(f"{base}/out"), keys)
+
+
 def land(stream: DataFrame, topic_col: str, ts_col: str, path: str, checkpoint: str,
          interval: str | None = "30 seconds") -> StreamingQuery:
     """Land messages as topic/year/month/day folders, each row once.

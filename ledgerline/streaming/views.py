@@ -56,6 +56,10 @@ def with_watermark(df: DataFrame, ts: str, delay: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
+PANE_KEYS = ["pane", "entity", "constellation", "weapon", "artifact"]
+DRAW_KEYS = ["window_start", "item"]
+
+
 def pane_counts(builds: DataFrame, pane: str = "3 seconds") -> DataFrame:
     """Counts per pane (the slide of the sliding window) at the finest category level.
 

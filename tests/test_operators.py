@@ -297,3 +297,9 @@ def test_dimension_keeps_first(spark):
 def test_top_n_limits_before_the_shuffle(spark):
     plan = db.top_n(spark.range(100).withColumn("g", F.col("id") % 3), 5, [("id", "desc")], per="g")
     assert plan._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
+
+
+def test_large_group_limit(spark):
+    df = spark.range(5000).withColumn("g", F.col("id") % 2)
+    got = db.top_n(df, 1500, [("id", "desc")], per="g")
+    assert rows(got.groupBy("g").agg(F.count("*").alias("n"), F.min("id").alias("low")), "g", "n", "low") == [(0, 1500, 2000), (1, 1500, 2001)]

@@ -85,7 +85,7 @@ def test_sliding_windows_equal_brute_force(spark, tmp_path):
     rng = random.Random(1)
     rows = [dict(build(i, rng.choice("ab")), ts=at(rng.randint(0, 200))) for i in range(120)]
     src = folder(tmp_path, [rows[:40], rows[40:80], rows[80:]])
-    panes = rn.drain(spark, vw.pane_counts(stream(spark, src, BUILD), "3 seconds"), "panes")
+    panes = rn.drain_updates(spark, vw.pane_counts(stream(spark, src, BUILD), "3 seconds"), "panes", vw.PANE_KEYS)
     got = {(int(r.w), r.entity): r.n for r in vw.hot_entities(panes, 60, 3).select(
         F.unix_seconds("window_start").alias("w"), "entity", "n").collect()}
     want = {}
