@@ -21,7 +21,7 @@ def itemsets(baskets_df: DataFrame, min_support: float = 0.01, size: int | None
 def rules(sets: DataFrame, n_baskets: Column, min_conf: float = 0.1, min_lift: float = 1.0) -> DataFrame:
     """Rules with one consequent: pair, n (baskets with both sides), support, confidence, lift.
 
-    `sets` holds all frequent item sets, so every side of a rule is found in it by an equality join.
+    Strongest lift first. `sets` holds all frequent item sets, so every side of a rule is found in it by an equality join.
     """
     parts = sets.filter(F.size("items") >= 2).select(
         "items", "freq", F.explode("items").alias("cons")).withColumn(
@@ -39,4 +39,5 @@ def rules(sets: DataFrame, n_baskets: Column, min_conf: float = 0.1, min_lift: f
                     F.col("freq").alias("n"),
                     round_half_up("support", 4).alias("support"),
                     round_half_up("confidence", 4).alias("confidence"),
-                    round_half_up("lift", 2).alias("lift")))
+                    round_half_up("lift", 2).alias("lift"))
+            .orderBy(F.col("lift").desc(), "pair"))

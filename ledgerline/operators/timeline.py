@@ -100,7 +100,7 @@ def momentum(rates: DataFrame, latest: str | None = None, previous: str | None =
              min_change: float = 1.0) -> DataFrame:
     """Change of the max-normalised rate between two periods, missing sides as 0.
 
-    Without labels the two greatest ones are compared. Both periods are summed side by side in one
+    Largest rise first. Without labels the two greatest ones are compared. Both periods are summed side by side in one
     aggregate, which gives the rows of a full outer join without joining.
     """
     if latest is None or previous is None:
@@ -119,7 +119,8 @@ def momentum(rates: DataFrame, latest: str | None = None, previous: str | None =
 
     return (norm.groupBy("entity").agg(side(2).alias("prev_rate"), side(1).alias("curr_rate"))
             .withColumn("change", round_half_up(F.col("curr_rate") - F.col("prev_rate"), 1))
-            .filter(F.abs("change") >= min_change))
+            .filter(F.abs("change") >= min_change)
+            .orderBy(F.col("change").desc(), "entity"))
 
 
 def adjacent_change(rates: DataFrame, order: DataFrame) -> DataFrame:
