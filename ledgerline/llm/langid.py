@@ -1,6 +1,7 @@
 """Language identification: word frequencies first, shorter and shorter character n-grams for unknown words."""
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import cut
 
 WORD = re.compile(r"[^\W\d_]+")
-LONGEST = 5          # characters of the longest n-gram
+LONGEST = 4          # characters of the longest n-gram
 UNKNOWN = "und"
 
 
@@ -25,17 +26,12 @@ def has_letter(words: list[str]) -> bool:
     return any(any(map(str.isalpha, w)) for w in words)
 
 
-def grams(word: str, size: int) -> list[str]:
-    padded = f"<{word}>"
-    return [padded[i:i + size] for i in range(len(padded) - size + 1)]
-
-
 def in_training(id_col: str = "doc_id") -> Column:
     """Rows that may be learned from: crc32 of the id, as text, is not 1 modulo 3. A null id is held back from both sides."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 != 1, F.lit(False))
 
 
-def fit(docs: DataFrame, rows_per_language: int = 2000, most_words: int = 60_000, most_grams: int = 60_000,
+def fit(docs: DataFrame, rows_per_language: int = 600, most_words: int = 40_000, most_grams: int = 40_000,
         id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict:
     """The model: languages, word rows and n-gram rows with log frequencies per language.
 
@@ -61,9 +57,10 @@ def fit(docs: DataFrame, rows_per_language: int = 2000, most_words: int = 60_000
         for lang, words in found.items():
             features = Counter({f"w{w}": n for w, n in words.items()})
             for w, n in words.items():
+                padded = f"<{w}>"
                 for size in range(1, LONGEST + 1):
-                    for g in grams(w, size):
-                        features[f"g{g}"] += n
+                    for i in range(len(padded) - size + 1):
+                        features["g" + padded[i:i + size]] += n
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(features)), pa.array(list(features)), pa.array(list(features.values()), pa.int64())],
                 ["lang", "feature", "n"])
@@ -87,30 +84,43 @@ class Scorer:
 
     def __init__(self, model: dict, keep: int = 300_000):
         self.langs, self.keep = model["langs"], keep
-        self.words, self.grams = model["words"], model["grams"]
+        self.words = model["words"]
+        self.grams = {g: i for i, g in enumerate(model["grams"])}
+        # The last row is for words without any known n-gram: it favours no language.
+        self.gram_rows = np.array(list(model["grams"].values()) + [[0.0] * len(self.langs)]).reshape(-1, len(self.langs))
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.rows = np.zeros((1024, max(1, len(self.langs))))
 
-    def vector(self, word: str) -> np.ndarray | list[float]:
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        for size in range(min(LONGEST, len(word) + 2), 0, -1):
-            found = [self.grams[g] for g in grams(word, size) if g in self.grams]
+    def known_grams(self, word: str) -> list[int]:
+        """Rows of the longest n-grams of the word that the model knows."""
+        padded, get = f"<{word}>", self.grams.get
+        for size in range(min(LONGEST, len(padded)), 0, -1):
+            found = [i for k in range(len(padded) - size + 1) if (i := get(padded[k:k + size])) is not None]
             if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.langs))
+                return found
+        return [len(self.gram_rows) - 1]
 
-    def add(self, word: str) -> int:
+    def add(self, new: list[str]) -> None:
+        """A row per word: its log frequencies if it is known, else the mean of those of its n-grams."""
         at = len(self.index)
-        if at == len(self.rows):
+        self.index.update(zip(new, range(at, at + len(new))))
+        while len(self.index) > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.index[word] = at
-        self.rows[at] = self.vector(word)
-        return at
+        unseen, parts = [], []
+        for i, word in enumerate(new, at):
+            row = self.words.get(word)
+            if row is not None:
+                self.rows[i] = row
+            else:
+                unseen.append(i)
+                parts.append(self.known_grams(word))
+        if unseen:
+            sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+            flat = np.fromiter(itertools.chain.from_iterable(parts), dtype=np.int64, count=int(sizes.sum()))
+            self.rows[unseen] = np.add.reduceat(self.gram_rows[flat], np.cumsum(sizes) - sizes) / sizes[:, None]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text) if text else []
@@ -119,8 +129,10 @@ class Scorer:
         if len(self.index) > self.keep:
             self.clear()
         counted = Counter(words)
-        get = self.index.get
-        at = [i if (i := get(w)) is not None else self.add(w) for w in counted]
+        new = [w for w in counted if w not in self.index]
+        if new:
+            self.add(new)
+        at = np.fromiter(map(self.index.__getitem__, counted), dtype=np.int64, count=len(counted))
         total = np.fromiter(counted.values(), dtype=float, count=len(counted)) @ self.rows[at]
         total -= total.max()
         best = int(np.argmax(total))

@@ -28,7 +28,7 @@ def tempered(cells: DataFrame, dim: str, power: float) -> DataFrame:
     return shares.select(dim, (F.pow("n", F.lit(power)) / total).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-6, rounds: int = 100) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-4, rounds: int = 100) -> DataFrame:
     """`cells` (dimensions, `tokens`) with `weight`: the tokens scaled until the share of every value of every
     dimension is its target.
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,6 @@ GENERATOR = 0b101011100011
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
 
 
-@lru_cache(maxsize=1)
 def golay_tables() -> tuple[np.ndarray, np.ndarray]:
     """Remainders of the single bits, and for each of 2048 syndromes its six error patterns (short rows repeat)."""
     def remainder(word: int) -> int:
@@ -46,9 +44,12 @@ def golay_tables() -> tuple[np.ndarray, np.ndarray]:
     return bits, np.array([(r + r[:1] * 6)[:6] for r in rows], dtype=np.uint32)
 
 
+GOLAY = golay_tables()
+
+
 def segment_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codeword indices (12 bits) near 23-bit words, six columns, and which of them are not repeats."""
-    bits, patterns = golay_tables()
+    bits, patterns = GOLAY
     syndrome = np.zeros(len(words), dtype=np.uint32)
     for i in range(23):
         syndrome ^= np.where(words >> np.uint32(i) & np.uint32(1), bits[i], np.uint32(0))
