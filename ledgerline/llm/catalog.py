@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from . import bpe, langid, mixing, secrets, simhash
+from . import ann, bpe, embed_dedup, langid, mixing, secrets, simhash, warc
+from ..sources.sinks import stage
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,26 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_learned_partitions")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"))
+
+
+@query("op3_warc_zstd", sql="""
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+    d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS digest,
+                 max(page_id) OVER (PARTITION BY payload) AS owner FROM p)
+    SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+           CASE WHEN n >= 1000 AND page_id < owner THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 1000 AND page_id < owner THEN owner END AS refers_to
+    FROM d""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives are written to the shared folder and read from there."""
+    archives = stage(spark, warc.write_archives(warc.mark_revisits(read(spark, sf_dir, "pages"))), "warc")
+    return (warc.read_archives(archives)
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
 @query("op4_language_id")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
@@ -38,6 +59,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                             ids=False)
 
 
+@query("op6_projection_passes")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_copies(read(spark, sf_dir, "embeddings"))
+
+
 @query("op8_mix_sources")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
