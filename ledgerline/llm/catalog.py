@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from . import ann, bpe, embed_dedup, langid, mixing, secrets, simhash, warc
+from . import ann, automaton_dedup, bpe, embed_dedup, langid, mixing, secrets, simhash, suffix_dedup, warc
 from ..sources.sinks import stage
 from .common import read
 
@@ -30,6 +30,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read(spark, sf_dir, "embeddings"))
 
 
+@query("op2_suffix_array")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 @query("op3_warc_zstd", sql="""
     WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
     d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS digest,
@@ -64,6 +69,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_copies(read(spark, sf_dir, "embeddings"))
 
 
+@query("op7_suffix_automata")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return automaton_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 @query("op8_mix_sources")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
