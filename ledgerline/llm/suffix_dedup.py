@@ -9,7 +9,7 @@ of the whole corpus is held anywhere.
 
 Suffixes are bucketed and sorted by hashes of their first bytes instead of the bytes themselves, since equality at a
 fixed depth is all that is asked; at the full depth a hash is wide enough (see `width`) that a collision anywhere
-in the corpus has a chance below 2**-16.
+in the corpus has a chance below 2**-12.
 """
 from __future__ import annotations
 
@@ -101,9 +101,9 @@ def window_digests(text: Text, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return a[new], b[new], index, text.rank[at[order][new]]
 
 
-def repeated(own: pa.Table) -> set[int]:
+def repeated(ids: list[int | None]) -> set[int]:
     """Ids of several rows, which lie in one block; a digest speaks for one of them only, so all are sorted."""
-    return {i for i, n in Counter(own.column("doc_id").to_pylist()).items() if n > 1}
+    return {i for i, n in Counter(ids).items() if n > 1}
 
 
 def copies_of(docs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -126,7 +126,7 @@ def remove_repeats(docs: DataFrame, block_bytes: int = 4_000_000, per_bucket: in
     spread = blocks.bucket_bits
     # One sampled suffix in a thousand may look shared without being so; that only costs another look.
     total_bits = min(64, max(spread + 16, int(np.ceil(np.log2(max(2, blocks.size) * len(COVER) / MODULUS))) + 10))
-    width = max(1, -(-(2 * int(np.ceil(np.log2(max(2, blocks.size)))) + 16 - 64) // 8))
+    width = max(1, int(np.ceil((2 * np.log2(max(2, blocks.size)) + 12 - 64) / 8)))
     width = min(8, width)
 
     def control(table: pa.Table) -> set[int]:
@@ -135,8 +135,9 @@ def remove_repeats(docs: DataFrame, block_bytes: int = 4_000_000, per_bucket: in
     def send_samples(key: tuple, own: pa.Table, notes: pa.Table) -> pa.Table:
         if not own.num_rows:
             return mail([])
-        copies = control(notes) - repeated(own)
-        text = Text(*documents(own), copies)
+        ids, texts = documents(own)
+        copies = control(notes) - repeated(ids)
+        text = Text(ids, texts, copies)
         values, _, _ = sample_values(text, total_bits)
         block = key[0].as_py()
         rows = [(b, SAMPLES, block, pack(values[s] << np.uint64(spread) >> np.uint64(64 - total_bits + spread)))
