@@ -51,7 +51,7 @@ class Blocks:
 
 def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of a batch by block: compressed they take two thirds of what they would in the shuffle."""
-    packer = zstandard.ZstdCompressor(level=1)
+    packer = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         if not batch.num_rows:
             continue

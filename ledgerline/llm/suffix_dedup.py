@@ -93,7 +93,9 @@ def sample_values(text: Text, total_bits: int) -> tuple[np.ndarray, np.ndarray,
 def window_digests(text: Text, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct digests (two words) of the suffixes `at`, the index of each, and the first document of each."""
     a, b = text.hashes(at, LENGTH, 2), text.hashes(at, LENGTH, 3)
-    order = np.lexsort((at, b, a))
+    order = np.argsort(a, kind="stable")
+    if ((a[order][1:] == a[order][:-1]) & (b[order][1:] != b[order][:-1])).any():
+        order = np.lexsort((at, b, a))
     a, b = a[order], b[order]
     new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])) if len(a) else np.zeros(0, dtype=bool)
     index = np.empty(len(at), dtype=np.int64)
@@ -223,16 +225,17 @@ def remove_repeats(docs: DataFrame, block_bytes: int = 4_000_000, per_bucket: in
         copies = set(np.frombuffer(carried[8:cut], dtype="<i8").tolist())
         ids, texts = documents(own)
         text, _, index, several, shared = state(own, copies, lambda v: flags(carried[cut:], len(v)))
-        sent_at = text.near(shared[index])
-        a, b, sent_index, _ = window_digests(text, sent_at)
-        before = answered(a, notes, FOUND)[sent_index] if len(a) else np.zeros(0, dtype=bool)
         at = text.near((shared | several)[index])
-        _, _, mine, first = window_digests(text, at)
-        goes = first[mine] < text.rank[at]
+        a, _, mine, first = window_digests(text, at)
+        sent = np.isin(at, text.near(shared[index]), assume_unique=True)
+        asked = np.zeros(len(a), dtype=bool)
+        asked[mine[sent]] = True
+        before = np.zeros(len(a), dtype=bool)
+        before[asked] = answered(a[asked], notes, FOUND)
+        goes = at[before[mine] | (first[mine] < text.rank[at])]
         edges = np.zeros(text.n + LENGTH + 1, dtype=np.int32)
-        for starts in (at[goes], sent_at[before]):
-            np.add.at(edges, starts, 1)
-            np.add.at(edges, starts + LENGTH, -1)
+        edges[goes] += 1
+        edges[goes + LENGTH] -= 1
         gone = np.cumsum(edges)[:text.n] > 0
         rows = []
         for i, (doc, whole) in enumerate(zip(ids, texts)):
