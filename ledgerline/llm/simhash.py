@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut, mix, partitions, texts
+from .common import cut, mix, texts
 from .components import connected_components
 
 # Fixed: generator polynomial of the binary Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
@@ -146,7 +146,7 @@ def _forest(prints: np.ndarray, most: int) -> list[tuple[int, int]]:
 
 
 def linked_in_runs(keys: np.ndarray, nodes: np.ndarray, prints: np.ndarray, most: int) -> np.ndarray:
-    """Distinct links (node, node) among rows of equal key; rows are sorted here."""
+    """Links (node, node) that join what rows of equal key join within `most` bits; rows are sorted here."""
     order = np.lexsort((nodes, keys))
     keys, nodes, prints = keys[order], nodes[order], prints[order]
     cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -181,19 +181,37 @@ def linked_in_runs(keys: np.ndarray, nodes: np.ndarray, prints: np.ndarray, most
             done.add(members)
         links.append(np.array([(nodes[a + i], nodes[a + j]) for i, j in _forest(prints[a:a + n], most)],
                               dtype=np.int64).reshape(-1, 2))
-    return np.unique(np.concatenate(links), axis=0) if links else np.zeros((0, 2), dtype=np.int64)
-
-
-def candidate_links(nodes: DataFrame, words: int, most: int) -> DataFrame:
-    """`a`, `b`: links between nodes (`node`, `prints`) that share a key and differ in at most `most` bits.
-
-    Keys are dealt over parts that grow with the number of nodes; within a part the rows of one key are
-    linked by a forest, so no group's pairs are all emitted.
+    return spanning(np.unique(np.concatenate(links), axis=0)) if links else np.zeros((0, 2), dtype=np.int64)
+
+
+def spanning(links: np.ndarray) -> np.ndarray:
+    """The links that join what was not joined by those before."""
+    names, ends = np.unique(links, return_inverse=True)
+    root = list(range(len(names)))
+    kept = []
+    for k, (a, b) in enumerate(ends.reshape(-1, 2).tolist()):
+        while root[a] != a:
+            root[a] = root[root[a]]
+            a = root[a]
+        while root[b] != b:
+            root[b] = root[root[b]]
+            b = root[b]
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            kept.append(k)
+    return links[kept]
+
+
+def candidate_links(nodes: DataFrame, words: int, levels: tuple[int, ...]) -> DataFrame:
+    """`a`, `b`: links between nodes (`node`, `prints`) that share a key and differ in few bits.
+
+    For each level, what is joined by links of at most so many bits stays joined by the links of at most so many bits
+    that are returned. Keys are dealt over parts that grow with the number of nodes; a part returns a forest per level,
+    so no group's pairs are all emitted.
     """
-    spark = nodes.sparkSession
     record = np.dtype([("key", "<u4"), ("node", "<i8"), ("prints", "<u8", (words,))])
     count = nodes.count()
-    parts = max(partitions(spark), -(-count * 84 * words // 2_000_000))
+    parts = max(6, -(-count * 84 * words // 1_500_000))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -220,7 +238,7 @@ def candidate_links(nodes: DataFrame, words: int, most: int) -> DataFrame:
 
     def link(table: pa.Table) -> pa.Table:
         rows = np.frombuffer(b"".join(table.column("rows").to_pylist()), dtype=record)
-        found = linked_in_runs(rows["key"], rows["node"], rows["prints"], most)
+        found = np.concatenate([linked_in_runs(rows["key"], rows["node"], rows["prints"], most) for most in levels])
         return pa.table({"a": pa.array(found[:, 0]), "b": pa.array(found[:, 1])})
 
     return (nodes.mapInArrow(emit, "part long, rows binary")
@@ -243,7 +261,7 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, most: int = 4,
     # An id that comes with several fingerprints joins their groups.
     same = (prints.join(repeated, "doc_id", "left_semi").join(nodes, "p")
             .select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
-    links = candidate_links(nodes.select("node", F.array("p").alias("prints")), 1, most).unionAll(same)
+    links = candidate_links(nodes.select("node", F.array("p").alias("prints")), 1, (most,)).unionAll(same)
     groups = connected_components(links)
     named = nodes.join(groups, "node", "left").select("p", F.coalesce("component", "node").alias("component_id"))
     return (prints.join(named, "p", "left")
@@ -252,10 +270,10 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, most: int = 4,
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
 
 
-def _bits_for(similarity: float, bits: int) -> int:
-    """Differing bits to expect at a Jaccard similarity, with three standard deviations on top."""
+def _bits_for(similarity: float, bits: int, deviations: float = 0) -> int:
+    """Differing bits to expect at a Jaccard similarity, and some standard deviations on top."""
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(bits * p + 3 * (bits * p * (1 - p)) ** 0.5)
+    return int(bits * p + deviations * (bits * p * (1 - p)) ** 0.5)
 
 
 def jaccard_of_least(x: bytes, y: bytes, size: int) -> float:
@@ -267,7 +285,7 @@ def jaccard_of_least(x: bytes, y: bytes, size: int) -> float:
     return float((np.isin(both, a, assume_unique=True) & np.isin(both, b, assume_unique=True)).sum() / len(both))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, sketch: int = 256,
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, sketch: int = 128,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`doc_id`, `component_id`: documents of one group of near copies, named by its smallest id.
 
@@ -275,9 +293,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     is verified by the similarity of the shingle sets, estimated from their `sketch` smallest hashes and exact
     for smaller sets. Documents with equal sketches are one node. Rows without an id are left out.
     """
-    prints = cut(fingerprints(docs.where(F.col(id_col).isNotNull()), shingle, 2, sketch, id_col, text_col))
-    nodes = cut(prints.groupBy("prints", "least").agg(F.min("doc_id").alias("node")))
-    links = candidate_links(nodes.select("node", "prints"), 2, _bits_for(similarity, 128))
+    prints = cut(fingerprints(docs.where(F.col(id_col).isNotNull()), shingle, 2, sketch, id_col, text_col)
+                 .withColumn("same", F.xxhash64("least")))
+    nodes = cut(prints.groupBy("prints", "same").agg(F.min("doc_id").alias("node")))
+    # Links of the expected number of bits come first, so that a likely pair isn't joined by unlikely ones only.
+    links = cut(candidate_links(nodes.select("node", "prints"), 2,
+                                (_bits_for(similarity, 128), _bits_for(similarity, 128, 3))))
+    ends = links.select(F.col("a").alias("doc_id")).unionAll(links.select("b")).distinct()
+    sets = cut(prints.select("doc_id", "least").join(ends, "doc_id", "left_semi"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,14 +308,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
             good = pa.array([jaccard_of_least(p, q, sketch) >= similarity for p, q in zip(x, y)], pa.bool_())
             yield batch.select(["a", "b"]).filter(good)
 
-    sets = nodes.select("node", "least")
-    verified = (links.join(sets.select(F.col("node").alias("a"), F.col("least").alias("x")), "a")
-                .join(sets.select(F.col("node").alias("b"), F.col("least").alias("y")), "b")
+    verified = (links.join(sets.select(F.col("doc_id").alias("a"), F.col("least").alias("x")), "a")
+                .join(sets.select(F.col("doc_id").alias("b"), F.col("least").alias("y")), "b")
                 .select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
     groups = connected_components(verified)
     named = (nodes.join(groups, "node", "left")
-             .select("prints", "least", F.coalesce("component", "node").alias("component_id")))
-    return prints.join(named, ["prints", "least"]).select("doc_id", "component_id")
+             .select("prints", "same", F.coalesce("component", "node").alias("component_id")))
+    return prints.select("doc_id", "prints", "same").join(named, ["prints", "same"]).select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
