@@ -87,7 +87,7 @@ class Scorer:
         self.words = model["words"]
         self.grams = {g: i for i, g in enumerate(model["grams"])}
         # The last row is for words without any known n-gram: it favours no language.
-        self.gram_rows = np.array(list(model["grams"].values()) + [[0.0] * len(self.langs)]).reshape(-1, len(self.langs))
+        self.gram_rows = np.array(list(model["grams"].values()) + [[0.0] * len(self.langs)]).reshape(len(self.grams) + 1, len(self.langs))
         self.clear()
 
     def clear(self) -> None:
