@@ -3,8 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Wide enough for sums over very large tables, four digits kept.
-EXACT = "decimal(30,4)"
+# Ten digits after the point, eighteen before it; the sum of many has room for ten more digits.
+EXACT = "decimal(28,10)"
 
 
 def _col(c: Column | str) -> Column:
@@ -12,9 +12,15 @@ def _col(c: Column | str) -> Column:
 
 
 def round_half_up(c: Column | str, digits: int = 0) -> Column:
-    """floor(x * 10^n + 0.5) / 10^n on doubles; the only rounding used in the package."""
+    """Halves away from zero, on doubles; the only rounding used in the package.
+
+    NaN, infinities and numbers too large to have digits behind the point stay as they are.
+    """
     scale = float(10 ** digits)
-    return F.floor(_col(c).cast("double") * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    x = _col(c).cast("double")
+    size = F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    return F.when(F.isnan(x) | (F.abs(x) * F.lit(scale) >= F.lit(2.0 ** 53)), x).otherwise(
+        F.when(x < 0, -size).otherwise(size) + F.lit(0.0))
 
 
 def percent(num: Column | str, den: Column | str, digits: int | None = None) -> Column:
@@ -26,8 +32,13 @@ def percent(num: Column | str, den: Column | str, digits: int | None = None) ->
 
 
 def exact_sum(c: Column | str) -> Column:
-    """Sum of doubles that does not depend on the order in which partitions merge."""
-    return F.sum(_col(c).cast(EXACT)).cast("double")
+    """Sum that does not depend on the order in which partitions merge, exact to ten digits behind the point.
+
+    With values that don't fit (NaN, infinities, 1e18 and more) it is the plain sum of doubles.
+    """
+    x = _col(c)
+    exact = x.try_cast(EXACT)
+    return F.when(F.count(exact) == F.count(x), F.sum(exact).cast("double")).otherwise(F.sum(x.cast("double")))
 
 
 def exact_avg(c: Column | str) -> Column:

@@ -138,6 +138,14 @@ def last_seen(df: DataFrame, key: str, col: str, order: list[str]) -> DataFrame:
     return df.groupBy(key).agg(F.max_by(col, F.struct(*order)).alias(col))
 
 
+def first_and_last(df: DataFrame, key: str, first: str, last: str, order: list[str]) -> DataFrame:
+    """First non-empty value of one attribute and last value of another, in one aggregate."""
+    value = F.when(F.coalesce(first, F.lit("")) != "", F.col(first))
+    at = F.when(value.isNotNull(), F.struct(*order))
+    return df.groupBy(key).agg(F.coalesce(F.min_by(value, at), F.lit("")).alias(first),
+                               F.max_by(last, F.struct(*order)).alias(last))
+
+
 def latest_snapshot_kpis(df: DataFrame) -> DataFrame:
     """Rows and averages of the newest snapshot only."""
     newest = df.agg(F.max("snapshot_time")).scalar()

@@ -33,15 +33,17 @@ def latest_rows(df: DataFrame) -> DataFrame:
 
 
 def rank_within(df: DataFrame, by: str, measure: str, name: str) -> DataFrame:
-    """Rank with shared ties and gaps, highest first.
+    """Rank with shared ties and gaps, highest first and nulls last; no row is lost.
 
-    Ranks are counted on the distinct measure values of each group, so a group with very many rows
-    is never sorted in one task.
+    Ranks are counted on the distinct measure values of each group: many rows with few values are not sorted in
+    one task. A measure without repeats sorts all values of a group together.
     """
     sizes = df.groupBy(by, measure).agg(F.count("*").alias("_n"))
-    above = Window.partitionBy(by).orderBy(F.col(measure).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = sizes.select(by, measure, (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).alias(name))
-    return df.join(ranks, [by, measure])
+    above = Window.partitionBy(by).orderBy(F.col(measure).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = sizes.select(F.col(by).alias("_by"), F.col(measure).alias("_measure"),
+                         (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).alias(name))
+    return (df.join(ranks, F.col(by).eqNullSafe(F.col("_by")) & F.col(measure).eqNullSafe(F.col("_measure")))
+            .drop("_by", "_measure"))
 
 
 def rate_changes(timeline: DataFrame) -> DataFrame:

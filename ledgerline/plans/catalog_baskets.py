@@ -102,7 +102,7 @@ def pair_usage(spark, sf):
 
 def leading(spark, sf):
     """The 30 most used lineup-sized baskets, written once: the pair queries read them from three sides."""
-    return stage(spark, bk.leading_baskets(r.ranked_baskets(spark, sf), top=30), "leading")
+    return stage(spark, bk.leading_baskets(r.ranked_baskets(spark, sf).filter(F.size("items") <= r.LINEUP_SIZE), top=30), "leading")
 
 
 DISJOINT = """, disjoint AS (SELECT a.no AS a, b.no AS b, a.use_rate*b.use_rate AS weight
@@ -124,15 +124,15 @@ def feasible_pairs(spark, sf):
 
 
 BASKET_SIDES = """, sized AS (SELECT any_value(ostatus) AS ostatus, string_agg(entity, '+' ORDER BY entity) AS basket
-    FROM (SELECT DISTINCT orderkey, ostatus, entity FROM lines) GROUP BY orderkey HAVING count(*) BETWEEN 2 AND 4),
+    FROM (SELECT DISTINCT orderkey, ostatus, entity FROM lines) GROUP BY orderkey HAVING count(*) >= 2),
   rated AS (SELECT ostatus, basket, count(*) AS n, """ + rnd("count(*)*100e0/sum(count(*)) OVER (PARTITION BY ostatus)", 2) + """ AS use_rate FROM sized GROUP BY 1, 2),
   base AS (SELECT * FROM rated WHERE ostatus='F'), other AS (SELECT * FROM rated WHERE ostatus='O')"""
 
 
 def basket_side(spark, sf, status, sep):
-    """Lineup-sized baskets of one order status; the two sides list their members in opposite order."""
+    """Baskets of one order status; the two sides list their members in opposite order."""
     facts = r.lines(spark, sf).filter(F.col("ostatus") == status)
-    sets = stage(spark, bk.baskets(facts, ["orderkey"], "entity").filter(F.size("items") <= r.LINEUP_SIZE), "side")
+    sets = stage(spark, bk.baskets(facts, ["orderkey"], "entity"), "side")
     total = sets.agg(F.count("*")).scalar()
     rate = F.floor(F.col("n") * 100.0 / total * 100 + 0.5) / 100.0
     members = F.col("items") if sep == "+" else F.reverse("items")
@@ -269,7 +269,7 @@ def bucket_mix(spark, sf):
   FROM builds GROUP BY 1""", "builds"))
 def first_last(spark, sf):
     b = r.builds(spark, sf)
-    return db.first_non_empty(b, "entity", "weapon", ["ts", "id"]).join(db.last_seen(b, "entity", "star", ["ts", "id"]), "entity")
+    return db.first_and_last(b, "entity", "weapon", "star", ["ts", "id"])
 
 
 @query("d21_latest_snapshot", sql(f"""SELECT count(*) AS n, {rnd('(sum(avg_constellation::DECIMAL(30,4))::DOUBLE/count(avg_constellation))', 1)} AS avg_constellation,

@@ -260,9 +260,9 @@ def history_entities(spark, sf):
 
 @query("a21_history_baskets", sql(f"""SELECT period, pos::INTEGER AS pos, entity||' + '||star::VARCHAR AS basket, {rnd('n/7.0e0', 1)} AS use_rate, 0e0 AS has_rate
   FROM (SELECT *, row_number() OVER (PARTITION BY period ORDER BY n DESC, entity) AS pos
-        FROM (SELECT period, entity, star, count(*) AS n FROM lines GROUP BY 1, 2, 3)) WHERE pos <= 10""", "lines"))
+        FROM (SELECT period, entity, star, count(*) AS n FROM lines GROUP BY 1, 2, 3)) WHERE pos <= 50""", "lines"))
 def history_baskets(spark, sf):
-    return rd.history_baskets(history(spark, sf), 10)
+    return rd.history_baskets(history(spark, sf))
 
 
 # -- dimensions and banners ---------------------------------------------------------------------------
@@ -275,15 +275,15 @@ def dedupe_dim(spark, sf):
 
 
 @query("b21_explode_banner", sql("""SELECT period, lower(kind) AS kind, min(period)||'-start' AS start_date, min(period)||'-end' AS end_date, entity, sum(n)::BIGINT AS n
-  FROM banners WHERE kind IN ('BUILDING', 'MACHINERY') GROUP BY period, kind, entity""", "banners"))
+  FROM banners GROUP BY period, kind, entity""", "banners"))
 def explode_banner(spark, sf):
     entry = F.struct(F.col("period").alias("version"), F.concat("period", F.lit("-start")).alias("start"),
                      F.concat("period", F.lit("-end")).alias("end"), "content")
     docs = (r.banners(spark, sf).groupBy("period", "kind")
             .agg(F.map_from_entries(F.collect_list(F.struct("entity", "n"))).alias("content")))
-    lists = docs.select(*[F.when(F.col("kind") == k, F.array(entry)).alias(c)
-                          for c, k in (("b_list", "BUILDING"), ("m_list", "MACHINERY"))])
-    return dr.explode_banner(lists, {"b_list": "building", "m_list": "machinery"})
+    kinds = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+    lists = docs.select(*[F.when(F.col("kind") == k, F.array(entry)).alias(f"{k.lower()}_list") for k in kinds])
+    return dr.explode_banner(lists, {f"{k.lower()}_list": k.lower() for k in kinds})
 
 
 @query("d18_banner_kpis", sql("""SELECT count(DISTINCT period) AS periods, sum(n)::BIGINT AS total_draws,

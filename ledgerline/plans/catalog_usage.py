@@ -361,9 +361,9 @@ def distinct_keys(spark, sf):
 
 
 @query("b15_fill_zero", """SELECT p_partkey, coalesce(sum(l_quantity)::BIGINT, 0) AS qty, coalesce(count(l_orderkey), 0) AS n
-  FROM part LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity >= 50) ON l_partkey=p_partkey GROUP BY 1""")
+  FROM part LEFT JOIN lineitem ON l_partkey=p_partkey GROUP BY 1""")
 def fill_zero(spark, sf):
-    bulk = (r.table(spark, sf, "lineitem").filter("l_quantity >= 50").groupBy(F.col("l_partkey").alias("p_partkey"))
+    bulk = (r.table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey"))
             .agg(F.sum("l_quantity").cast("bigint").alias("qty"), F.count("*").alias("n")))
     return r.table(spark, sf, "part").select("p_partkey").join(bulk, "p_partkey", "left").na.fill(0, ["qty", "n"])
 
@@ -406,13 +406,13 @@ def upsert(spark, sf):
 
 
 @query("a17_insert_ignore", sql("""SELECT uid, orderkey FROM (SELECT o_custkey AS uid, min(o_orderkey) AS orderkey FROM orders WHERE o_orderstatus='F' GROUP BY 1)
-  UNION ALL SELECT uid, orderkey FROM (SELECT o_custkey AS uid, min(o_orderkey) AS orderkey FROM orders WHERE o_orderstatus='O' GROUP BY 1)
+  UNION ALL SELECT uid, orderkey FROM (SELECT o_custkey AS uid, min(o_orderkey) AS orderkey FROM orders WHERE o_orderstatus<>'F' GROUP BY 1)
   WHERE uid NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus='F')"""))
 def insert_ignore(spark, sf):
     orders = r.table(spark, sf, "orders").select(F.col("o_custkey").alias("uid"), F.col("o_orderkey").alias("orderkey"),
                                                   "o_orderstatus")
     old = orders.filter("o_orderstatus = 'F'").groupBy("uid").agg(F.min("orderkey").alias("orderkey"))
-    new = orders.filter("o_orderstatus = 'O'").select("uid", "orderkey")
+    new = orders.filter("o_orderstatus <> 'F'").select("uid", "orderkey")
     return mt.insert_ignore(old, new, ["uid"], ["orderkey"])
 
 

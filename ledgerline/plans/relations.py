@@ -32,7 +32,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(part, item.l_partkey == part.p_partkey)
             .select(F.year("o_orderdate").cast("string").alias("period"), "o_orderdate",
                     F.col("o_custkey").alias("uid"), F.col("l_orderkey").alias("orderkey"),
-                    F.col("o_orderstatus").alias("ostatus"), "entity",
+                    F.when(F.col("o_orderstatus") == "F", "F").otherwise("O").alias("ostatus"), "entity",
                     (_brand_number(F.col("entity")) % 2 + 4).alias("star"),
                     F.col("l_linenumber").alias("linenumber"), F.col("l_quantity").alias("quantity"),
                     F.col("l_linestatus").alias("linestatus"), F.col("l_discount").alias("discount"),
@@ -73,10 +73,10 @@ def order_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ranked_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineup-sized baskets as distinct item sets, with their share of all baskets."""
+    """Baskets as distinct item sets, with their share of all baskets."""
     sets = stage(spark, order_baskets(spark, sf_dir), "baskets")
     total = sets.agg(F.count("*")).scalar()
-    return (sets.filter(F.size("items") <= LINEUP_SIZE).groupBy("items").agg(F.count("*").alias("n"))
+    return (sets.groupBy("items").agg(F.count("*").alias("n"))
             .select(F.array_join("items", "+").alias("basket"), "items", "n",
                     round_half_up(F.col("n") * 100.0 / total, 4).alias("use_rate")))
 
@@ -155,8 +155,8 @@ def banners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dimension of the entities that come in the largest part size; others have no row."""
-    d = (table(spark, sf_dir, "part").filter(F.col("p_size") == 50)
+    """Dimension of the entities; those with a number divisible by five have no row."""
+    d = (table(spark, sf_dir, "part").filter(_brand_number(F.col("p_brand")) % 5 != 0)
          .select(F.col("p_brand").alias("entity")).distinct())
     d = d.withColumn("star", _brand_number(F.col("entity")) % 2 + 4)
     return d.withColumn("avatar", F.concat(F.lit("img/"), _brand_number(F.col("entity"))))
@@ -237,7 +237,7 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------------------- SQL twins
 
 def rnd(x: str, digits: int = 0) -> str:
-    return f"(floor(({x})*1e{digits}+0.5e0)/1e{digits})"
+    return f"((CASE WHEN ({x})<0 THEN -floor(-({x})*1e{digits}+0.5e0) ELSE floor(({x})*1e{digits}+0.5e0) END)/1e{digits}+0e0)"
 
 
 def pct(num: str, den: str, digits: int | None = None) -> str:
@@ -280,7 +280,7 @@ _K = """regexp_extract(props, '"k": *([0-9]+)', 1)::INTEGER"""
 
 CTES: dict[str, tuple[str, ...]] = {
     "lines": ((), f"""SELECT year(o_orderdate)::VARCHAR AS period, o_orderdate, o_custkey AS uid,
-      l_orderkey AS orderkey, o_orderstatus AS ostatus, p_brand AS entity,
+      l_orderkey AS orderkey, CASE WHEN o_orderstatus='F' THEN 'F' ELSE 'O' END AS ostatus, p_brand AS entity,
       {_NUM.format('p_brand')} % 2 + 4 AS star, l_linenumber AS linenumber, l_quantity AS quantity,
       l_linestatus AS linestatus, l_discount AS discount, l_tax AS tax
       FROM lineitem JOIN orders ON l_orderkey=o_orderkey JOIN part ON l_partkey=p_partkey"""),
@@ -300,9 +300,9 @@ CTES: dict[str, tuple[str, ...]] = {
     "ranked_baskets": (("basket_items",), f"""SELECT basket, items, count(*) AS n,
       {rnd("count(*)*100e0/(SELECT count(DISTINCT (period, orderkey)) FROM basket_items)", 4)} AS use_rate
       FROM (SELECT list(entity ORDER BY entity) AS items, string_agg(entity, '+' ORDER BY entity) AS basket
-            FROM basket_items GROUP BY period, orderkey HAVING count(*) <= 4) GROUP BY 1, 2"""),
+            FROM basket_items GROUP BY period, orderkey) GROUP BY 1, 2"""),
     "lead_baskets": (("ranked_baskets",), """SELECT *, row_number() OVER (ORDER BY use_rate DESC, basket) AS no
-      FROM ranked_baskets QUALIFY no <= 30"""),
+      FROM ranked_baskets WHERE len(items) <= 4 QUALIFY no <= 30"""),
     "scores": (("lines",), f"""SELECT entity, {rnd(eavg('tax*100'), 2)} AS ability,
       {rnd(eavg('quantity') + '/5', 2)} AS look, {rnd(eavg('discount*100'), 2)} AS score, count(*) AS votes
       FROM lines GROUP BY 1"""),
@@ -325,7 +325,7 @@ CTES: dict[str, tuple[str, ...]] = {
     "banners": (("lines",), """SELECT year(o_orderdate)::VARCHAR||'Q'||quarter(o_orderdate)::VARCHAR AS period,
       c_mktsegment AS kind, entity, count(*) AS n FROM lines JOIN customer ON uid=c_custkey GROUP BY 1, 2, 3"""),
     "dim": ((), f"""SELECT DISTINCT p_brand AS entity, {_NUM.format('p_brand')}%2+4 AS star,
-      'img/'||({_NUM.format('p_brand')})::VARCHAR AS avatar FROM part WHERE p_size = 50"""),
+      'img/'||({_NUM.format('p_brand')})::VARCHAR AS avatar FROM part WHERE {_NUM.format('p_brand')} % 5 <> 0"""),
     "rates_f": (("detail_f",), _user_rates_sql("detail_f")),
     "rates_o": (("detail_o",), _user_rates_sql("detail_o")),
     "records": (("detail",), """SELECT period, uid, CASE

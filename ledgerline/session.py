@@ -1,6 +1,7 @@
 """Session defaults and the shared folder for checkpoints and intermediate tables."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,7 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     root = tempfile.mkdtemp(prefix="ledgerline-")
     spark.conf.set("spark.checkpoint.dir", root)

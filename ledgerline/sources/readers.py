@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import alternate_fields, round_half_up
+from ..functions.lenient import CORRUPT, is_object, parse_checked
 
 
 def scan_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -29,11 +30,12 @@ def scan_jsonl(spark: SparkSession, path: str, schema: str | T.StructType, bad:
 
 def handle_bad_lines(lines: DataFrame, schema: str | T.StructType, bad: str = "route") -> DataFrame:
     parsed = (lines.filter(F.trim("value") != "")
-              .select(F.from_json("value", schema).alias("_j"),
-                      F.try_parse_json("value").isNull().alias("is_bad"), F.col("value").alias("raw")))
+              .select(F.when(is_object(F.col("value")), parse_checked(F.col("value"), schema)).alias("_j"), F.col("value").alias("raw"))
+              .withColumn("is_bad", F.col("_j").isNull() | F.col(f"_j.{CORRUPT}").isNotNull()))
     if bad == "count":
         return parsed.groupBy("is_bad").agg(F.count("*").alias("n"))
-    out = parsed.select("_j.*", "is_bad", "raw")
+    # A bad line keeps no values, also not those that could be read.
+    out = parsed.withColumn("_j", F.when(~F.col("is_bad"), F.col("_j"))).select("_j.*", "is_bad", "raw").drop(CORRUPT)
     return out.filter(~F.col("is_bad")).drop("is_bad", "raw") if bad == "skip" else out
 
 

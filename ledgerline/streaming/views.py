@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import percent, round_half_up
+from ..functions.lenient import CORRUPT, is_object, parse_checked
 from ..operators.dashboards import category_mix, top_category, top_n
 
 UNKNOWN = "?"
@@ -21,11 +22,12 @@ def open_stream(spark: SparkSession, format: str = "kafka", schema: str | T.Stru
 
 
 def parse_messages(df: DataFrame, schema: str | T.StructType, col: str = "value") -> DataFrame:
-    """JSON messages to columns; what does not parse is dropped."""
-    return (df.withColumn("_ok", F.try_parse_json(F.col(col).cast("string")).isNotNull())
-            .filter("_ok").drop("_ok")
-            .select(*[c for c in df.columns if c != col], F.from_json(F.col(col).cast("string"), schema).alias("_m"))
-            .select(*[c for c in df.columns if c != col], "_m.*"))
+    """JSON messages to columns; what is no object, or has values of other types, is dropped."""
+    rest = [c for c in df.columns if c != col]
+    text = F.col(col).cast("string")
+    return (df.select(*rest, F.when(is_object(text), parse_checked(text, schema)).alias("_m"))
+            .filter(F.col("_m").isNotNull() & F.col(f"_m.{CORRUPT}").isNull())
+            .select(*rest, "_m.*").drop(CORRUPT))
 
 
 # Fixed alternatives of the loosely typed build messages.

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline import functions as fn
 from ledgerline.functions import argmax_struct, normalize_label, round_half_up
 from ledgerline.operators import allocate as al, baskets as bk, dashboards as db, draws as dr, maintenance as mt
 from ledgerline.operators import mining as mn, reconcile as rc, timeline as tl, usage as us
@@ -20,7 +21,7 @@ def rows(df, *cols):
 def test_rounding_is_half_up(spark):
     got = spark.range(1).select(*[round_half_up(F.lit(x), n).alias(str(i)) for i, (x, n) in enumerate(
         [(0.5, 0), (1.25, 1), (2.345, 2), (-0.25, 1), (33.333, 1)])]).first()
-    assert list(got) == [1.0, 1.3, 2.35, -0.2, 33.3]
+    assert list(got) == [1.0, 1.3, 2.35, -0.3, 33.3]
 
 
 def test_label(spark):
@@ -303,3 +304,35 @@ def test_large_group_limit(spark):
     df = spark.range(5000).withColumn("g", F.col("id") % 2)
     got = db.top_n(df, 1500, [("id", "desc")], per="g")
     assert rows(got.groupBy("g").agg(F.count("*").alias("n"), F.min("id").alias("low")), "g", "n", "low") == [(0, 1500, 2000), (1, 1500, 2001)]
+
+
+def test_sums_keep_digits(spark):
+    def total(values):
+        return spark.createDataFrame([(v,) for v in values], "x double").agg(fn.exact_sum("x")).first()[0]
+    assert total([0.00004, 0.00004, 0.00003]) == 0.00011
+    assert total([1e25, 1.0, None]) == 1e25 + 1 and math.isnan(total([float("nan"), 1.0]))
+    assert total([None]) is None
+
+
+def test_rounding_of_signs_and_odd_numbers(spark):
+    rows = [(-0.25, -0.3), (0.25, 0.3), (-0.04, 0.0), (float("inf"), float("inf")), (1e300, 1e300), (None, None)]
+    got = spark.createDataFrame(rows, "x double, want double").select(fn.round_half_up("x", 1).alias("r"), "want").collect()
+    assert all(r.r == r.want for r in got)
+    assert math.isnan(spark.range(1).select(fn.round_half_up(F.lit(float("nan")), 1)).first()[0])
+
+
+def test_null_rates_rank_last_and_stay(spark):
+    df = spark.createDataFrame([("1", "a", 5.0), ("1", "b", None), ("2", "a", None), ("2", "b", 3.0), ("3", "a", 4.0), ("3", "b", 3.0)],
+                               "period string, entity string, use_rate double")
+    ranked = {(r.period, r.entity): r.k for r in tl.rank_within(df, "period", "use_rate", "k").collect()}
+    assert ranked == {("1", "a"): 1, ("1", "b"): 2, ("2", "a"): 2, ("2", "b"): 1, ("3", "a"): 1, ("3", "b"): 2}
+    changes = {(r.entity, r.period): r.rank_prev for r in tl.rate_changes(df).collect()}
+    assert changes == {("a", "2"): 1, ("b", "3"): 1}
+
+
+def test_lines_of_the_wrong_shape(spark):
+    from ledgerline.sources.readers import handle_bad_lines
+    lines = spark.createDataFrame([(x,) for x in ("5", "[1]", '{"star":"abc"}', '{"star":4}', "{", '{"other":1}', " ")], "value string")
+    got = {r.raw: (r.is_bad, r.star) for r in handle_bad_lines(lines, "star int").collect()}
+    assert got == {"5": (True, None), "[1]": (True, None), '{"star":"abc"}': (True, None), '{"star":4}': (False, 4), "{": (True, None),
+                   '{"other":1}': (False, None)}
