@@ -5,6 +5,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import exact_avg, exact_sum, percent, round_half_up
 
+# Parts into which the values of a group are cut for ranking.
+RANK_CUTS = 64
+
 
 def period_order(df: DataFrame, order: DataFrame | None = None, descending: bool = False) -> DataFrame:
     """Distinct period labels with their position.
@@ -35,13 +38,26 @@ def latest_rows(df: DataFrame) -> DataFrame:
 def rank_within(df: DataFrame, by: str, measure: str, name: str) -> DataFrame:
     """Rank with shared ties and gaps, highest first and nulls last; no row is lost.
 
-    Ranks are counted on the distinct measure values of each group: many rows with few values are not sorted in
-    one task. A measure without repeats sorts all values of a group together.
+    Ranks are counted on the distinct measure values of each group. The values are cut at approximate quantiles of
+    the group: a window over the few cuts counts the rows of higher cuts, and values are sorted inside one cut
+    only. The rank is exact wherever the cuts lie, and a measure without repeats is not sorted in one task.
     """
-    sizes = df.groupBy(by, measure).agg(F.count("*").alias("_n"))
-    above = Window.partitionBy(by).orderBy(F.col(measure).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = sizes.select(F.col(by).alias("_by"), F.col(measure).alias("_measure"),
-                         (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).alias(name))
+    sizes = df.groupBy(F.col(by).alias("_by"), F.col(measure).alias("_measure")).agg(F.count("*").alias("_n"))
+    quantiles = F.percentile_approx("_measure", [i / RANK_CUTS for i in range(1, RANK_CUTS)], F.lit(100 * RANK_CUTS))
+    edges = sizes.groupBy(F.col("_by").alias("_of")).agg(quantiles.alias("_edges"))
+    # Cut 0 holds the highest values, the last one the nulls.
+    cut = F.when(F.col("_measure").isNull(), RANK_CUTS).otherwise(
+        F.size(F.filter("_edges", lambda e: e > F.col("_measure"))))
+    placed = (sizes.join(edges, F.col("_by").eqNullSafe(F.col("_of")))
+              .select("_by", "_measure", "_n", cut.alias("_cut")))
+    higher = Window.partitionBy("_in").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = (placed.groupBy(F.col("_by").alias("_in"), F.col("_cut").alias("_at")).agg(F.sum("_n").alias("_rows"))
+            .withColumn("_higher", F.coalesce(F.sum("_rows").over(higher), F.lit(0))).drop("_rows"))
+    above = (Window.partitionBy("_by", "_cut").orderBy(F.col("_measure").desc_nulls_last())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    ranks = (placed.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
+             .join(cuts, F.col("_by").eqNullSafe(F.col("_in")) & (F.col("_cut") == F.col("_at")))
+             .select("_by", "_measure", (F.col("_higher") + F.col("_above") + 1).alias(name)))
     return (df.join(ranks, F.col(by).eqNullSafe(F.col("_by")) & F.col(measure).eqNullSafe(F.col("_measure")))
             .drop("_by", "_measure"))
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import round_half_up
 from ..operators import baskets as bk, dashboards as db, mining as mn, usage as us
 from ..sources.sinks import stage
 from . import relations as r
@@ -71,10 +72,14 @@ def basket_shares(spark, sf):
     return bk.basket_shares(r.order_baskets(spark, sf), users, "items")
 
 
-@query("d11_basket_entity_rates", sql(f"""SELECT '2001' AS period, i.entity, {esum('use_rate')} AS rate
-  FROM ranked_baskets b, (SELECT DISTINCT entity FROM lines) i WHERE list_contains(b.items, i.entity) GROUP BY 2""", "ranked_baskets"))
+@query("d11_basket_entity_rates", sql(f""", sets AS (SELECT period, list(entity ORDER BY entity) AS items FROM basket_items GROUP BY period, orderkey),
+  rated AS (SELECT period, items, {rnd('count(*)*100e0/sum(count(*)) OVER (PARTITION BY period)', 4)} AS use_rate FROM sets GROUP BY 1, 2)
+  SELECT period, entity, {esum('use_rate')} AS rate FROM (SELECT period, use_rate, unnest(items) AS entity FROM rated) GROUP BY 1, 2""", "basket_items"))
 def basket_entity_rates(spark, sf):
-    return bk.basket_entity_rates(r.ranked_baskets(spark, sf).withColumn("period", F.lit("2001")))
+    counts = r.order_baskets(spark, sf).groupBy("period", "items").agg(F.count("*").alias("n"))
+    totals = counts.groupBy("period").agg(F.sum("n").alias("t"))
+    return bk.basket_entity_rates(counts.join(totals, "period").withColumn(
+        "use_rate", round_half_up(F.col("n") * 100.0 / F.col("t"), 4)))
 
 
 @query("d13_entity_usage_once", sql(f""", o AS (SELECT entity, max(star) AS star, count(DISTINCT uid) AS own_count,

@@ -21,9 +21,9 @@ def at(col):
 
 
 def panes(spark, sf):
-    """Pane counts of the build stream, drained to a table."""
-    stream = vw.with_watermark(r.builds_of(r.event_stream(spark, sf)), "ts", "1 hour")
-    return rn.drain_updates(spark, vw.pane_counts(stream, f"{QUARTER} seconds"), "panes", vw.PANE_KEYS)
+    """Pane counts of the build stream, drained to a table; rows may come in any order."""
+    return rn.drain_partials(spark, r.builds_of(r.unordered_stream(spark, sf)),
+                             lambda df: vw.pane_counts(df, f"{QUARTER} seconds"), vw.merge_panes, "panes")
 
 
 HOT = f"""SELECT {WS} AS window_start, entity, count(*) AS n, max_by(star, id) AS star, max_by(ename, id) AS ename,
@@ -88,8 +88,8 @@ FIVE = "count(CASE WHEN star=5 OR type IN ('role','weapon') THEN 1 END)"
       SELECT *, row_number() OVER (PARTITION BY ws ORDER BY n DESC, item) AS pos FROM p) WHERE pos <= 50 GROUP BY 1)
   SELECT {WS.replace('ws*', 't.ws*')} AS window_start, draws, five_rate, top_item, items FROM t JOIN i ON t.ws=i.ws""", "draws"))
 def draw_windows(spark, sf):
-    stream = vw.with_watermark(r.draws_of(r.event_stream(spark, sf)), "ts", "1 hour")
-    counted = rn.drain_updates(spark, vw.draw_panes(stream, "1 hour"), "draws", vw.DRAW_KEYS)
+    counted = rn.drain_partials(spark, r.draws_of(r.unordered_stream(spark, sf)),
+                                lambda df: vw.draw_panes(df, "1 hour"), vw.merge_draw_panes, "draws")
     text = F.array_join(F.transform("items", lambda e: F.concat(e["name"], F.lit(":"), e["count"])), ",")
     return vw.draw_windows(counted, 50).select(at("window_start"), "draws", "five_rate", "top_item", text.alias("items"))
 
@@ -104,11 +104,12 @@ def latest_scores(spark, sf):
     return rn.drain(spark, view, "scores").select("entity", "score", "star", "ability", "look")
 
 
-@query("j7_ranking", sql(LATEST + " ORDER BY score DESC, entity LIMIT 6", "live"))
+@query("j7_ranking", sql(LATEST.replace("SELECT entity, score,", "SELECT entity, score, 0e0 AS delta, (row_number() OVER (ORDER BY score DESC, entity))::INTEGER AS pos,")
+                           + " ORDER BY score DESC, entity LIMIT 6", "live"))
 def score_ranking(spark, sf):
     base = fresh_path(spark, "ranking")
     rn.live_ranking(spark, r.scores_of(r.event_stream(spark, sf)), base, f"{base}/checkpoint").awaitTermination()
-    return rn.current(spark, f"{base}/top").select("entity", "score", "star", "ability", "look")
+    return rn.current(spark, f"{base}/top").select("entity", "score", "delta", "pos", "star", "ability", "look")
 
 
 @query("j9_ranking_deltas", sql(f""", half AS (SELECT *, ts < TIMESTAMP '2024-01-16' AS early FROM live),
@@ -152,24 +153,34 @@ def detail_snapshot(spark, sf):
     return vw.detail_snapshot(counted, as_of, 86400).withColumn("snapshot_time", at("snapshot_time"))
 
 
+DIST = "||','||".join(f"""'"c{c}":'||({pct(f'count(CASE WHEN constellation={c} THEN 1 END)', 'count(*)', 1)})::VARCHAR""" for c in range(7))
+
+
 @query("j11_snapshot", sql(f""", h AS (SELECT entity, count(*) AS n, {rnd('sum(constellation)::DOUBLE/count(*)', 1)} AS avg_constellation,
       floor(sum(damage)/count(*))::BIGINT AS avg_damage FROM hot_rows WHERE ws=(SELECT max(ws) FROM hot_rows) GROUP BY 1 ORDER BY n DESC, entity LIMIT 4),
   m AS (SELECT entity, '["'||string_agg(weapon, '","' ORDER BY pos)||'"]' AS weapons FROM (SELECT entity, weapon,
       row_number() OVER (PARTITION BY entity ORDER BY count(*) DESC, weapon) AS pos
-      FROM hot_rows WHERE ws=(SELECT max(ws) FROM hot_rows) AND weapon<>'?' GROUP BY 1, 2) WHERE pos<=3 GROUP BY 1)
+      FROM hot_rows WHERE ws=(SELECT max(ws) FROM hot_rows) AND weapon<>'?' GROUP BY 1, 2) WHERE pos<=3 GROUP BY 1),
+  a AS (SELECT entity, '["'||string_agg(artifact, '","' ORDER BY pos)||'"]' AS artifacts FROM (SELECT entity, artifact,
+      row_number() OVER (PARTITION BY entity ORDER BY count(*) DESC, artifact) AS pos
+      FROM hot_rows WHERE ws=(SELECT max(ws) FROM hot_rows) GROUP BY 1, 2) WHERE pos<=3 GROUP BY 1),
+  s AS (SELECT entity, '{{'||{DIST}||'}}' AS const_dist FROM hot_rows WHERE ws=(SELECT max(ws) FROM hot_rows) GROUP BY 1)
   SELECT h.entity, (SELECT strftime(make_timestamp(max(ws)*1000000), '%Y-%m-%d %H:%M:%S') FROM hot_rows) AS snapshot_time,
-    avg_constellation, avg_damage, coalesce(weapons, '[]') AS weapons FROM h LEFT JOIN m ON h.entity=m.entity""", "hot_rows"))
+    avg_constellation, avg_damage, const_dist, coalesce(weapons, '[]') AS weapons, coalesce(artifacts, '[]') AS artifacts
+  FROM h LEFT JOIN m ON h.entity=m.entity LEFT JOIN a ON h.entity=a.entity JOIN s ON h.entity=s.entity""", "hot_rows"))
 def snapshot(spark, sf):
     counted = stage(spark, vw.pane_counts(r.builds(spark, sf), f"{QUARTER} seconds"), "panes")
+    # The last window begins with the last pane; no earlier pane belongs to it.
+    last = counted.agg(F.max("pane")).scalar()
+    counted = counted.filter(F.col("pane") >= last)
     hot = vw.hot_entities(counted, HOUR, QUARTER)
-    last = hot.agg(F.max("window_start")).scalar()
 
     def of_last(df):
         return df.filter(F.col("window_start") == last)
 
     rows = vw.snapshot_rows(of_last(hot), of_last(vw.hot_mix(counted, "weapon", HOUR, QUARTER)),
                             of_last(vw.hot_mix(counted, "artifact", HOUR, QUARTER)), last)
-    return rows.select("entity", at("snapshot_time"), "avg_constellation", "avg_damage", "weapons")
+    return rows.withColumn("snapshot_time", at("snapshot_time"))
 
 
 @query("j11_draw_snapshot", sql("""SELECT 0 AS pos, '__ALL__' AS entity, count(*) AS draws FROM draws

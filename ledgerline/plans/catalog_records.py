@@ -227,7 +227,11 @@ def pair_documents(spark, sf):
 
 @query("a11_messages", """SELECT event_type AS key, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1""")
 def messages(spark, sf):
-    out = sk.to_messages(r.table(spark, sf, "events").select("event_id", "event_type", "value"), "event_type")
+    """Keyed messages published to files and read back."""
+    made = sk.to_messages(r.table(spark, sf, "events").select("event_id", "event_type", "value"), "event_type")
+    path = fresh_path(spark, "messages")
+    sk.publish_messages(made, "json", path=path)
+    out = spark.read.schema(made.schema).json(path)
     return out.groupBy("key").agg(F.count("*").alias("n"),
                                   F.sum(F.get_json_object("value", "$.event_id").cast("bigint")).alias("ids"))
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import exact_avg, percent, round_half_up
+from ..session import fresh_path
 from ..sources.sinks import stage
 
 
@@ -145,6 +146,16 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                        pathGlobFilter="events.parquet")
 
 
+def unordered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of several batches in no order of time."""
+    from ..streaming.views import open_stream
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = fresh_path(spark, "unordered")
+    events = table(spark, sf_dir, "events")
+    events.repartition(files, "event_id").write.parquet(path)
+    return open_stream(spark, "parquet", events.schema, path, maxFilesPerTrigger=-(-files // 3))
+
+
 def banners(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Draws per quarter, segment and entity: a table of its own, written once."""
     customer = table(spark, sf_dir, "customer").select(
@@ -165,10 +176,11 @@ def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 def user_rates(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
     """Rates per user from the orders of one status; many users occur under one status only."""
     d = detail_of(lines(spark, sf_dir).filter(F.col("ostatus") == status))
+    entities = table(spark, sf_dir, "part").agg(F.count_distinct("p_brand")).scalar()
     return d.groupBy("uid").agg(
         F.max("star").alias("star"),
         percent(F.count(F.when(F.col("used") == 1, 1)), F.count("*"), 1).alias("use_rate"),
-        percent(F.count_distinct("entity"), F.lit(25), 1).alias("own_rate"))
+        percent(F.count_distinct("entity"), entities, 1).alias("own_rate"))
 
 
 def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,7 +284,7 @@ def _detail_sql(where: str = "") -> str:
 
 def _user_rates_sql(source: str) -> str:
     return f"""SELECT uid, max(star) AS star, {pct('count(CASE WHEN used=1 THEN 1 END)', 'count(*)', 1)} AS use_rate,
-      {pct('count(DISTINCT entity)', '25', 1)} AS own_rate FROM {source} GROUP BY 1"""
+      {pct('count(DISTINCT entity)', '(SELECT count(DISTINCT p_brand) FROM part)', 1)} AS own_rate FROM {source} GROUP BY 1"""
 
 
 _NUM = "substr({},7,3)::INTEGER"

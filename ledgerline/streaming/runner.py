@@ -30,10 +30,10 @@ def current(spark: SparkSession, path: str) -> DataFrame:
     return table.filter(F.col("batch") == table.agg(F.max("batch")).scalar()).drop("batch")
 
 
-def prune_batches(spark: SparkSession, path: str, keep: int = 20) -> DataFrame:
-    """Batch numbers that are past keeping, for a cleaning job of the owner of the folder."""
-    table = spark.read.parquet(path).select("batch").distinct()
-    return table.filter(F.col("batch") <= table.agg(F.max("batch")).scalar() - keep)
+def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Remove a published batch, if it is there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={batch_id}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def drain(spark: SparkSession, view: DataFrame, label: str, mode: str = "complete") -> DataFrame:
@@ -62,17 +62,32 @@ def drain_updates(spark: SparkSession, view: DataFrame, label: str, keys: list[s
     return latest_updates(spark.read.parquet(f"{base}/out"), keys)
 
 
+def drain_partials(spark: SparkSession, stream: DataFrame, partial: Callable[[DataFrame], DataFrame],
+                   merge: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """Aggregate every micro-batch by itself over all available input and merge the published parts.
+
+    There is no state and no watermark: a batch costs its own rows, and a row that comes late is one more part of
+    its window. A repeated batch replaces itself.
+    """
+    base = fresh_path(spark, label)
+    query = start(stream, lambda df, i: publish(partial(df), i, f"{base}/out"), f"{base}/checkpoint", "append")
+    query.awaitTermination()
+    return merge(spark.read.parquet(f"{base}/out").drop("batch"))
+
+
 def land(stream: DataFrame, topic_col: str, ts_col: str, path: str, checkpoint: str,
-         interval: str | None = "30 seconds") -> StreamingQuery:
+         interval: str | None = "30 seconds", files: int = 4) -> StreamingQuery:
     """Land messages as topic/year/month/day folders, each row once.
 
     The flush size is the source's maxOffsetsPerTrigger (or maxFilesPerTrigger). Rows are filed by
-    their own day, so a new day opens a new folder.
+    their own day, so a new day opens a new folder. Rows of a folder come together in `files` tasks before
+    the write, so that not every task opens a file in every folder.
     """
     day = F.col(ts_col)
     out = (stream.withColumn("topic", F.col(topic_col))
            .withColumn("yyyy", F.date_format(day, "yyyy")).withColumn("mm", F.date_format(day, "MM"))
-           .withColumn("dd", F.date_format(day, "dd")))
+           .withColumn("dd", F.date_format(day, "dd"))
+           .repartition("topic", "yyyy", "mm", "dd", F.pmod(F.xxhash64(*stream.columns), F.lit(files))))
     writer = (out.writeStream.format("parquet").outputMode("append")
               .partitionBy("topic", "yyyy", "mm", "dd").option("path", path)
               .option("checkpointLocation", checkpoint))
@@ -97,19 +112,22 @@ def keep_recent(kept: DataFrame | None, batch: DataFrame, keep: int = 60) -> Dat
 
 
 def score_history(spark: SparkSession, scores: DataFrame, path: str, checkpoint: str, keep: int = 60,
-                  interval: str | None = None) -> StreamingQuery:
-    """Bounded score history per entity, kept as a published table; `recent_values` shows its tail."""
+                  interval: str | None = None, batches: int = 20) -> StreamingQuery:
+    """Bounded score history per entity, kept as a published table of which the newest `batches` stay;
+    `recent_values` shows its tail."""
     def step(batch: DataFrame, batch_id: int) -> None:
         publish(keep_recent(before(spark, path, batch_id), batch, keep), batch_id, path)
+        drop_batch(spark, path, batch_id - max(2, batches))
 
     return start(scores, step, checkpoint, "append", interval)
 
 
 def live_ranking(spark: SparkSession, scores: DataFrame, path: str, checkpoint: str, n: int = 6,
-                 interval: str | None = None) -> StreamingQuery:
+                 interval: str | None = None, batches: int = 20) -> StreamingQuery:
     """Top scores after every batch, each with the delta against when it was last in the top.
 
-    Under `path`: `latest` (last score per entity), `shown` (score at the last showing), `top`.
+    Under `path`: `latest` (last score per entity), `shown` (score at the last showing), `top`. The newest
+    `batches` of each stay.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
         known = before(spark, f"{path}/latest", batch_id)
@@ -123,5 +141,7 @@ def live_ranking(spark: SparkSession, scores: DataFrame, path: str, checkpoint:
         top, shown = ranking(latest, before(spark, f"{path}/shown", batch_id), n)
         publish(top, batch_id, f"{path}/top")
         publish(shown, batch_id, f"{path}/shown")
+        for name in ("latest", "shown", "top"):
+            drop_batch(spark, f"{path}/{name}", batch_id - max(2, batches))
 
     return start(scores, step, checkpoint, "append", interval)

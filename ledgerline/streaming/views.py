@@ -75,6 +75,12 @@ def pane_counts(builds: DataFrame, pane: str = "3 seconds") -> DataFrame:
                     "n", "damage", "last"))
 
 
+def merge_panes(parts: DataFrame) -> DataFrame:
+    """Pane counts from the pane counts of several batches."""
+    return parts.groupBy(*PANE_KEYS).agg(F.sum("n").alias("n"), F.sum("damage").alias("damage"),
+                                         F.max("last").alias("last"))
+
+
 def windows_of(panes: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
     """List each pane under every sliding window that covers it."""
     steps = window_seconds // slide_seconds
@@ -153,6 +159,11 @@ def draw_panes(draws: DataFrame, window: str = "1 second") -> DataFrame:
             .select(F.col("_w.start").alias("window_start"), "item", "n", "five"))
 
 
+def merge_draw_panes(parts: DataFrame) -> DataFrame:
+    """Draw panes from the draw panes of several batches."""
+    return parts.groupBy(*DRAW_KEYS).agg(F.sum("n").alias("n"), F.sum("five").alias("five"))
+
+
 def draw_windows(panes: DataFrame, top: int = 50) -> DataFrame:
     """Per window: draws, top-star rate, the top item and the `top` items as (name, count)."""
     totals = panes.groupBy("window_start").agg(

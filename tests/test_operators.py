@@ -336,3 +336,13 @@ def test_lines_of_the_wrong_shape(spark):
     got = {r.raw: (r.is_bad, r.star) for r in handle_bad_lines(lines, "star int").collect()}
     assert got == {"5": (True, None), "[1]": (True, None), '{"star":"abc"}': (True, None), '{"star":4}': (False, 4), "{": (True, None),
                    '{"other":1}': (False, None)}
+
+
+def test_ranks_of_a_continuous_measure_are_exact(spark):
+    rates = {g: [(i * 7919 % 4001) / 7 for i in range(n)] for g, n in (("a", 4001), ("b", 5), ("c", 1))}
+    rows = [(g, v) for g, values in rates.items() for v in values] + [("b", None), ("b", None), (None, 1.5), (None, 2.5)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {(r.g, r.v): r.k for r in tl.rank_within(df, "g", "v", "k").collect()}
+    groups = {**{g: v for g, v in rates.items()}, None: [1.5, 2.5]}
+    want = {(g, v): 1 + sum(x > v for x in values) for g, values in groups.items() for v in values}
+    assert got == {**want, ("b", None): 6}

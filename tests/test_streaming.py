@@ -183,3 +183,23 @@ def test_snapshot_top_four_with_three_names(spark):
     got = {r.entity: (json.loads(r.weapons), json.loads(r.artifacts)) for r in
            vw.snapshot_rows(vw.hot_entities(panes, 60, 60), *args, F.lit("now")).collect()}
     assert set(got) == set("abcd") and got["a"] == (["w0", "w1", "w2"], ["s"])
+
+
+def test_partial_counts_keep_rows_that_come_late(spark, tmp_path):
+    def row(i, seconds):
+        return {"id": i, "ts": at(seconds), "entity": "a", "star": 5, "ename": f"n{i}", "constellation": 1, "level": 1,
+                "damage": 10, "weapon": "w", "artifact": "x"}
+
+    src = folder(tmp_path, [[row(1, 0), row(2, 3000)], [row(3, 1)], [row(4, 2), row(5, 3001)]])
+    panes = rn.drain_partials(spark, stream(spark, src, BUILD), lambda df: vw.pane_counts(df, "3 seconds"),
+                              vw.merge_panes, "late")
+    got = {r.k: (r.n, r.damage, r.last.id) for r in panes.select("*", F.date_format("pane", "mm:ss").alias("k")).collect()}
+    assert got == {"00:00": (3, 30, 4), "50:00": (2, 20, 5)}
+
+
+def test_old_batches_of_a_history_are_removed(spark, tmp_path):
+    src = folder(tmp_path, [[score(i, "a", i)] for i in range(5)])
+    out = tmp_path / "out"
+    rn.score_history(spark, stream(spark, src, SCORE), str(out), str(tmp_path / "c"), batches=2).awaitTermination()
+    assert sorted(p.name for p in out.glob("batch=*")) == ["batch=3", "batch=4"]
+    assert [r.score for r in rn.current(spark, str(out)).orderBy("id").collect()] == [0, 1, 2, 3, 4]
