@@ -149,6 +149,23 @@ def basket_usage(lineups: DataFrame, users: Column, keys: list[str], ordered: bo
             .withColumn("has_rate", round_half_up(percent("n", users) * F.lit(0.7), 1)))
 
 
+def with_first_avatars(baskets_df: DataFrame, members: DataFrame, keys: list[str], dim: DataFrame,
+                       ordered: bool = True) -> DataFrame:
+    """Add `avatars`: those of the members in the order of the basket's first occurrence (least key).
+
+    `members` comes from `first_members`; members without an avatar leave an empty text. Members are
+    unfolded once per distinct basket, not per occurrence.
+    """
+    key = F.array_join("members", "+") if ordered else F.array_join(F.array_sort("members"), " + ")
+    first = members.groupBy(key.alias("basket")).agg(F.min_by("members", F.struct(*keys)).alias("members"))
+    named = (first.select("basket", F.posexplode("members").alias("_pos", "entity"))
+             .join(dim.select("entity", "avatar"), "entity", "left")
+             .groupBy("basket").agg(F.sort_array(F.collect_list(
+                 F.struct("_pos", F.coalesce("avatar", F.lit("")).alias("avatar")))).alias("_a"))
+             .select("basket", F.array_join(F.col("_a.avatar"), ",").alias("avatars")))
+    return baskets_df.join(named, "basket", "left")
+
+
 def basket_shares(teams: DataFrame, users: Column, members: str = "members") -> DataFrame:
     """Share of each member list (an array, order kept) among all lineups and among all users.
 

@@ -65,6 +65,12 @@ def deviations(source: DataFrame, actual: DataFrame, key: str = "entity") -> Dat
             .withColumn("delta", F.col("act") - F.col("src")))
 
 
+def mean_constellations(detail: DataFrame) -> DataFrame:
+    """Owners and mean constellation per entity."""
+    return detail.groupBy("entity").agg(F.count_distinct("uid").alias("owners"),
+                                        round_half_up(exact_avg("constellation"), 2).alias("mean_constellation"))
+
+
 def deviation_summary(devs: DataFrame) -> DataFrame:
     """Mean and largest absolute deviation."""
     return devs.agg(round_half_up(exact_avg(F.abs("delta")), 1).alias("mean_abs"),

@@ -64,6 +64,18 @@ def basket_usage_sorted(spark, sf):
     return bk.basket_usage(order_lineups(spark, sf), users, ["orderkey"], ordered=False)
 
 
+@query("d12_basket_avatars", sql(f"""{FOUR}, f AS (SELECT array_to_string(list_sort(m), ' + ') AS basket, count(*) AS n, min_by(m, orderkey) AS m
+    FROM four GROUP BY 1), e AS (SELECT basket, unnest(m) AS entity, generate_subscripts(m, 1) AS pos FROM f)
+  SELECT f.basket, f.n, (SELECT string_agg(coalesce(avatar, ''), ',' ORDER BY pos) FROM e LEFT JOIN dim ON e.entity=dim.entity
+    WHERE e.basket=f.basket) AS avatars FROM f""", "lines", "dim"))
+def basket_avatars(spark, sf):
+    users = r.table(spark, sf, "orders").agg(F.count_distinct("o_custkey")).scalar()
+    lineups = order_lineups(spark, sf)
+    used = bk.basket_usage(lineups, users, ["orderkey"], ordered=False)
+    return (bk.with_first_avatars(used, bk.first_members(lineups, ["orderkey"]), ["orderkey"], r.dimension(spark, sf), ordered=False)
+            .select("basket", "n", "avatars"))
+
+
 @query("d14_basket_shares", sql(f""", b AS (SELECT orderkey, string_agg(entity, '+' ORDER BY entity) AS basket FROM basket_items GROUP BY 1)
   SELECT basket, count(*) AS n, {pct('count(*)', '(SELECT count(*) FROM b)', 1)} AS use_rate, {pct('count(*)', USERS, 1)} AS has_rate
   FROM b GROUP BY 1""", "basket_items"))

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import dashboards as db
+from ..operators import dashboards as db, maintenance as mt
 from ..operators.timeline import recent_values
 from ..session import fresh_path
 from ..sources.sinks import stage
@@ -144,7 +144,9 @@ def score_history(spark, sf):
   ta AS (SELECT entity, artifact AS top_artifact, {rnd('n::DOUBLE/t', 2)} AS top_artifact_ratio FROM (
       SELECT entity, artifact, count(*) AS n, sum(count(*)) OVER (PARTITION BY entity) AS t,
         row_number() OVER (PARTITION BY entity ORDER BY count(*) DESC, artifact) AS pos FROM w GROUP BY 1, 2) WHERE pos=1)
-  SELECT b.entity, n, star, avg_constellation, avg_damage, top_weapon, top_weapon_ratio, top_artifact, top_artifact_ratio, snapshot_time
+  SELECT b.entity, n, star, avg_constellation, avg_damage, coalesce(top_weapon, '?') AS top_weapon,
+    coalesce(top_weapon_ratio, 0e0) AS top_weapon_ratio, coalesce(top_artifact, '?') AS top_artifact,
+    coalesce(top_artifact_ratio, 0e0) AS top_artifact_ratio, snapshot_time
   FROM b LEFT JOIN tw ON b.entity=tw.entity LEFT JOIN ta ON b.entity=ta.entity""", "builds"))
 def detail_snapshot(spark, sf):
     builds = r.builds(spark, sf)
@@ -153,6 +155,32 @@ def detail_snapshot(spark, sf):
     return vw.detail_snapshot(counted, as_of, 86400).withColumn("snapshot_time", at("snapshot_time"))
 
 
+CYCLE = 7200
+
+
+@query("j10_detail_cycle", sql(f""", f AS (SELECT floor(max(epoch(ts))/{CYCLE})::BIGINT*{CYCLE} AS last FROM builds),
+  w AS (SELECT b.*, s.k AS s FROM builds b, f, (SELECT unnest(range(7)) AS i) x,
+      LATERAL (SELECT last - x.i*{CYCLE} AS k) s WHERE epoch(ts) < s.k AND epoch(ts) >= s.k - 86400),
+  b AS (SELECT s, entity, count(*) AS n, max_by(star, id) AS star, {rnd('sum(constellation)::DOUBLE/count(*)', 1)} AS avg_constellation,
+      floor(sum(damage)/count(*))::BIGINT AS avg_damage FROM w GROUP BY 1, 2),
+  tw AS (SELECT s, entity, weapon, {rnd('n::DOUBLE/t', 2)} AS ratio FROM (
+      SELECT s, entity, weapon, count(*) AS n, sum(count(*)) OVER (PARTITION BY s, entity) AS t,
+        row_number() OVER (PARTITION BY s, entity ORDER BY count(*) DESC, weapon) AS pos FROM w WHERE weapon<>'?' GROUP BY 1, 2, 3) WHERE pos=1),
+  ta AS (SELECT s, entity, artifact, {rnd('n::DOUBLE/t', 2)} AS ratio FROM (
+      SELECT s, entity, artifact, count(*) AS n, sum(count(*)) OVER (PARTITION BY s, entity) AS t,
+        row_number() OVER (PARTITION BY s, entity ORDER BY count(*) DESC, artifact) AS pos FROM w GROUP BY 1, 2, 3) WHERE pos=1)
+  SELECT strftime(make_timestamp(b.s*1000000), '%Y-%m-%d %H:%M:%S') AS snapshot_time, b.entity, n, star, avg_constellation, avg_damage,
+    coalesce(weapon, '?') AS top_weapon, coalesce(tw.ratio, 0e0) AS top_weapon_ratio,
+    coalesce(artifact, '?') AS top_artifact, coalesce(ta.ratio, 0e0) AS top_artifact_ratio
+  FROM b LEFT JOIN tw ON b.s=tw.s AND b.entity=tw.entity LEFT JOIN ta ON b.s=ta.s AND b.entity=ta.entity""", "builds"))
+def detail_cycle(spark, sf):
+    """Snapshots every two hours over a day each, those of the last twelve hours kept."""
+    builds = r.builds(spark, sf)
+    last = builds.agg(F.timestamp_seconds(F.floor(F.unix_seconds(F.max("ts")) / CYCLE) * CYCLE)).scalar()
+    counted = stage(spark, vw.pane_counts(builds, f"{QUARTER} seconds"), "panes")
+    return vw.detail_cycle(counted, last, 86400, CYCLE).withColumn("snapshot_time", at("snapshot_time"))
+
+
 DIST = "||','||".join(f"""'"c{c}":'||({pct(f'count(CASE WHEN constellation={c} THEN 1 END)', 'count(*)', 1)})::VARCHAR""" for c in range(7))
 
 
@@ -183,6 +211,30 @@ def snapshot(spark, sf):
     return rows.withColumn("snapshot_time", at("snapshot_time"))
 
 
+@query("j11_snapshot_upsert", sql(""", l AS (SELECT max(ws) AS ws FROM hot_rows),
+  h AS (SELECT h.ws, entity, count(*) AS n, """ + rnd('sum(constellation)::DOUBLE/count(*)', 1) + """ AS avg_constellation,
+      floor(sum(damage)/count(*))::BIGINT AS avg_damage FROM hot_rows h, l WHERE h.ws >= l.ws - 900 GROUP BY 1, 2
+    QUALIFY row_number() OVER (PARTITION BY h.ws ORDER BY count(*) DESC, entity) <= 4)
+  SELECT entity, avg_constellation, avg_damage, strftime(make_timestamp(ws*1000000), '%Y-%m-%d %H:%M:%S') AS snapshot_time
+  FROM h QUALIFY row_number() OVER (PARTITION BY entity ORDER BY ws DESC) = 1""", "hot_rows"))
+def snapshot_upsert(spark, sf):
+    """The snapshot of the last window merged by entity into the one before it."""
+    counted = stage(spark, vw.pane_counts(r.builds(spark, sf), f"{QUARTER} seconds"), "panes")
+    last = counted.agg(F.max("pane")).scalar()
+    before = last - F.make_dt_interval(secs=F.lit(QUARTER))
+    recent = counted.filter(F.col("pane") >= before)
+    hot, weapons, artifacts = (vw.hot_entities(recent, HOUR, QUARTER), vw.hot_mix(recent, "weapon", HOUR, QUARTER),
+                               vw.hot_mix(recent, "artifact", HOUR, QUARTER))
+
+    def rows(start):
+        return vw.snapshot_rows(*[d.filter(F.col("window_start") == start) for d in (hot, weapons, artifacts)], start)
+
+    new = rows(last)
+    merged = mt.upsert(rows(before), new, ["entity"], [x for x in new.columns if x != "entity"])
+    return (merged.withColumn("snapshot_time", at("snapshot_time"))
+            .select("entity", "avg_constellation", "avg_damage", "snapshot_time"))
+
+
 @query("j11_draw_snapshot", sql("""SELECT 0 AS pos, '__ALL__' AS entity, count(*) AS draws FROM draws
   UNION ALL SELECT * FROM (SELECT row_number() OVER (ORDER BY count(*) DESC, item)::INTEGER AS pos, item, 0 FROM draws GROUP BY item) WHERE pos <= 10""", "draws"))
 def draw_snapshot(spark, sf):

@@ -285,6 +285,12 @@ def deviation_summary(spark, sf):
     return rc.deviation_summary(rc.deviations(*both_sides(spark, sf), key="uid"))
 
 
+@query("l3_mean_constellation", sql(f"""SELECT entity, count(DISTINCT uid) AS owners, {rnd(eavg('constellation'), 2)} AS mean_constellation
+  FROM detail GROUP BY 1""", "detail"))
+def mean_constellations(spark, sf):
+    return rc.mean_constellations(r.detail_of(r.lines(spark, sf)))
+
+
 @query("d27_summarize", sql(f"""SELECT entity, count(*) AS n, count(DISTINCT uid) AS users, min(constellation) AS low,
   max(constellation) AS high, {rnd(eavg('constellation'), 2)} AS mean FROM detail GROUP BY ROLLUP (entity)""", "detail"))
 def summarize(spark, sf):

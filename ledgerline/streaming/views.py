@@ -114,19 +114,42 @@ def publish_top(hot: DataFrame, n: int = 4) -> DataFrame:
     return top_n(hot, n, [("n", "desc"), ("entity", "asc")], per="window_start", name="pos")
 
 
-def detail_snapshot(panes: DataFrame, as_of: Column, window_seconds: int = 60) -> DataFrame:
-    """All entities of the window that ends at `as_of`, with their top categories and shares."""
-    recent = panes.filter((F.col("pane") >= as_of - F.make_dt_interval(secs=F.lit(window_seconds)))
-                          & (F.col("pane") < as_of))
+def _details(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts, means and top categories per key; no known category is written as `?` with share 0."""
     n = F.sum("n")
-    base = recent.groupBy("entity").agg(
+    base = rows.groupBy(*keys).agg(
         n.alias("n"), F.max("last")["star"].alias("star"),
         round_half_up(F.sum(F.col("constellation") * F.col("n")).cast("double") / n, 1).alias("avg_constellation"),
         F.floor(F.sum("damage") / n).cast("bigint").alias("avg_damage"))
     for cat in ("weapon", "artifact"):
-        mix = category_mix(recent.filter(F.col(cat) != UNKNOWN), ["entity"], cat, weight=F.col("n"))
-        base = base.join(top_category(mix, ["entity"], cat), "entity", "left")
-    return base.withColumn("snapshot_time", as_of)
+        mix = category_mix(rows.filter(F.col(cat) != UNKNOWN), keys, cat, weight=F.col("n"))
+        base = (base.join(top_category(mix, keys, cat), keys, "left")
+                .fillna({f"top_{cat}": UNKNOWN, f"top_{cat}_ratio": 0.0}))
+    return base
+
+
+def detail_snapshot(panes: DataFrame, as_of: Column, window_seconds: int = 60) -> DataFrame:
+    """All entities of the window that ends at `as_of`, with their top categories and shares."""
+    recent = panes.filter((F.col("pane") >= as_of - F.make_dt_interval(secs=F.lit(window_seconds)))
+                          & (F.col("pane") < as_of))
+    return _details(recent, ["entity"]).withColumn("snapshot_time", as_of)
+
+
+def detail_cycle(panes: DataFrame, last: Column, window_seconds: int, every_seconds: int = 7200,
+                 keep_seconds: int = 43200) -> DataFrame:
+    """The kept snapshots at `last`: one every `every_seconds`, dropped once older than `keep_seconds`.
+
+    A snapshot is the sliding window that ends at its time, so all of them come from one aggregate and
+    a rerun gives the same table. Panes must divide `every_seconds`, which must divide the window.
+    """
+    reach = F.make_dt_interval(secs=F.lit(keep_seconds + window_seconds))
+    slot = F.timestamp_seconds(F.floor(F.unix_seconds("pane") / every_seconds) * every_seconds)
+    slots = panes.filter((F.col("pane") >= last - reach) & (F.col("pane") < last)).withColumn("pane", slot)
+    rows = windows_of(slots, window_seconds, every_seconds)
+    rows = (rows.withColumn("snapshot_time", F.timestamp_seconds(F.unix_seconds("window_start") + window_seconds))
+            .filter((F.col("snapshot_time") <= last)
+                    & (F.col("snapshot_time") >= last - F.make_dt_interval(secs=F.lit(keep_seconds)))))
+    return _details(rows, ["snapshot_time", "entity"])
 
 
 def recent_entries(builds: DataFrame) -> DataFrame:
