@@ -96,9 +96,10 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, words: int = 1, sketch: int = 0,
+def fingerprints(docs: DataFrame, shingle: int = 4, words: int = 1, sketch: int = 0, sketch_shingle: int = 5,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc_id`, `prints` (array of `words` fingerprints), `least` (the `sketch` smallest shingle hashes, packed).
+    """`doc_id`, `prints` (array of `words` fingerprints), `least` (the `sketch` smallest hashes of shingles of
+    `sketch_shingle` words, packed).
 
     Null and empty texts have the fingerprint zero. The first fingerprint is made of the hashes as they are,
     any further ones of the hashes mixed anew.
@@ -109,7 +110,10 @@ def fingerprints(docs: DataFrame, shingle: int = 4, words: int = 1, sketch: int
         for _ in range(words):
             prints.append(_signed(majority(again)))
             again = mix(again + np.uint64(0x9E3779B97F4A7C15))
-        least = np.unique(mix(h) >> np.uint64(32))[:sketch].astype("<u4").tobytes() if sketch else b""
+        least = b""
+        if sketch:
+            whole = mix(shingle_hashes(text, sketch_shingle)) >> np.uint64(32)
+            least = np.unique(whole)[:sketch].astype("<u4").tobytes()
         return prints, least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +258,7 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, most: int = 4,
     no links. Null and empty texts share the fingerprint zero; a row without an id belongs to no component
     (null) and is not kept; repeated ids share a row's fate if their fingerprints do.
     """
-    prints = cut(fingerprints(docs, shingle, 1, 0, id_col, text_col).select("doc_id", F.col("prints")[0].alias("p")))
+    prints = cut(fingerprints(docs, shingle, id_col=id_col, text_col=text_col).select("doc_id", F.col("prints")[0].alias("p")))
     nodes = cut(prints.where("doc_id is not null").groupBy("p").agg(F.min("doc_id").alias("node")))
     repeated = (prints.where("doc_id is not null").groupBy("doc_id").agg(F.min("p").alias("x"), F.max("p").alias("y"))
                 .where("x <> y").select("doc_id"))
@@ -285,15 +289,16 @@ def jaccard_of_least(x: bytes, y: bytes, size: int) -> float:
     return float((np.isin(both, a, assume_unique=True) & np.isin(both, b, assume_unique=True)).sum() / len(both))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, sketch: int = 128,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, sketch: int = 512,
+                    print_shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`doc_id`, `component_id`: documents of one group of near copies, named by its smallest id.
 
-    Two fingerprints give the candidates (two segments of either may differ in two bits each); a link
-    is verified by the similarity of the shingle sets, estimated from their `sketch` smallest hashes and exact
-    for smaller sets. Documents with equal sketches are one node. Rows without an id are left out.
+    Two fingerprints give the candidates (two segments of either may differ in two bits each). They are made of
+    shorter shingles than the similarity: an edit touches fewer of them, so similar texts differ in fewer bits, and the
+    bits allowed for `similarity` hold for them too. A link is verified by the similarity of the sets of `shingle` words,
+    estimated from their `sketch` smallest hashes and exact for smaller sets. Documents with equal sketches are one node. Rows without an id are left out.
     """
-    prints = cut(fingerprints(docs.where(F.col(id_col).isNotNull()), shingle, 2, sketch, id_col, text_col)
+    prints = cut(fingerprints(docs.where(F.col(id_col).isNotNull()), print_shingle, 2, sketch, shingle, id_col, text_col)
                  .withColumn("same", F.xxhash64("least")))
     nodes = cut(prints.groupBy("prints", "same").agg(F.min("doc_id").alias("node")))
     # Links of the expected number of bits come first, so that a likely pair isn't joined by unlikely ones only.

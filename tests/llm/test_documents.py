@@ -85,6 +85,24 @@ def test_near_copies(spark):
     assert kept == [(False, k) for k in range(20)] + [(False, 300), (True, 0), (True, 0)]
 
 
+def test_near_copies_against_all_pairs(spark):
+    """Every pair of five-word similarity 0.8 or more is joined, and nothing else."""
+    rnd = random.Random(5)
+    rows = []
+    for k in range(40):
+        words = ["".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(rnd.randint(60, 450))]
+        for copy in range(4):
+            edited = [f"x{rnd.randint(0, 9)}" if rnd.random() < copy * 0.01 else w for w in words]
+            rows.append((k + 100 * copy, " ".join(edited)))
+    sets = {d: {tuple(w[i:i + 5]) for i in range(len(w) - 4)} for d, w in ((d, t.split()) for d, t in rows)}
+    ids = sorted(sets)
+    pairs = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:]
+             if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(pairs) > 60
+    want = components(ids, pairs)
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, rows)).collect()} == want
+
+
 def test_languages(spark, docs):
     model = langid.fit(docs)
     from pyspark.sql import functions as F
