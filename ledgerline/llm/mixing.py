@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..sources.sinks import stage
 from .common import cut, unit
 
 
@@ -98,7 +99,8 @@ def mix_probabilities(docs: DataFrame, share: float = 0.5, power: float = 0.7,
     marked = docs.withColumns(dims)
     cells = cut(marked.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens")))
     wanted = targets or {d: tempered(cells, d, power) for d in ("_source", "_lang", "_topic")}
-    return marked, cut(calibrate(rake(cells, wanted), share))
+    # A table of known size: Spark sends it to the documents instead of shuffling them.
+    return marked, stage(docs.sparkSession, calibrate(rake(cells, wanted), share), "cells")
 
 
 def draw(docs: DataFrame) -> Column:
