@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import cut, mix, texts
 from .components import connected_components
+from .set_join import similar_groups
 
 # Fixed: generator polynomial of the binary Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 GENERATOR = 0b101011100011
@@ -274,52 +275,22 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, most: int = 4,
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
 
 
-def _bits_for(similarity: float, bits: int, deviations: float = 0) -> int:
-    """Differing bits to expect at a Jaccard similarity, and some standard deviations on top."""
-    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(bits * p + deviations * (bits * p * (1 - p)) ** 0.5)
-
-
-def jaccard_of_least(x: bytes, y: bytes, size: int) -> float:
-    """Similarity of two shingle sets by their smallest hashes; exact for sets of at most `size`."""
-    a, b = np.frombuffer(x, dtype="<u4"), np.frombuffer(y, dtype="<u4")
-    both = np.union1d(a, b)[:size]
-    if not len(both):
-        return 1.0
-    return float((np.isin(both, a, assume_unique=True) & np.isin(both, b, assume_unique=True)).sum() / len(both))
+def similar_rows(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
+                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`doc_id`, `mark` (hash of the text), `component_id`, `first`: rows with an id, in groups of near copies.
 
+    Two texts are near copies if the sets of their shingles of `shingle` words have a similarity of `similarity` or more.
+    Fingerprints can't tell at these distances (some 8 bits of 64 differ), so the sets themselves are joined, all of them.
+    """
+    own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"),
+                                                       F.col(text_col).cast("string").alias("text"))
+    return similar_groups(own, lambda text: np.unique(shingle_hashes(text, shingle)), similarity)
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, sketch: int = 512,
-                    print_shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc_id`, `component_id`: documents of one group of near copies, named by its smallest id.
 
-    Two fingerprints give the candidates (two segments of either may differ in two bits each). They are made of
-    shorter shingles than the similarity: an edit touches fewer of them, so similar texts differ in fewer bits, and the
-    bits allowed for `similarity` hold for them too. A link is verified by the similarity of the sets of `shingle` words,
-    estimated from their `sketch` smallest hashes and exact for smaller sets. Documents with equal sketches are one node. Rows without an id are left out.
-    """
-    prints = cut(fingerprints(docs.where(F.col(id_col).isNotNull()), print_shingle, 2, sketch, shingle, id_col, text_col)
-                 .withColumn("same", F.xxhash64("least")))
-    nodes = cut(prints.groupBy("prints", "same").agg(F.min("doc_id").alias("node")))
-    # Links of the expected number of bits come first, so that a likely pair isn't joined by unlikely ones only.
-    links = cut(candidate_links(nodes.select("node", "prints"), 2,
-                                (_bits_for(similarity, 128), _bits_for(similarity, 128, 3))))
-    ends = links.select(F.col("a").alias("doc_id")).unionAll(links.select("b")).distinct()
-    sets = cut(prints.select("doc_id", "least").join(ends, "doc_id", "left_semi"))
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-            good = pa.array([jaccard_of_least(p, q, sketch) >= similarity for p, q in zip(x, y)], pa.bool_())
-            yield batch.select(["a", "b"]).filter(good)
-
-    verified = (links.join(sets.select(F.col("doc_id").alias("a"), F.col("least").alias("x")), "a")
-                .join(sets.select(F.col("doc_id").alias("b"), F.col("least").alias("y")), "b")
-                .select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"))
-    groups = connected_components(verified)
-    named = (nodes.join(groups, "node", "left")
-             .select("prints", "same", F.coalesce("component", "node").alias("component_id")))
-    return prints.select("doc_id", "prints", "same").join(named, ["prints", "same"]).select("doc_id", "component_id")
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`doc_id`, `component_id`: documents of one group of near copies, named by its smallest id."""
+    return similar_rows(docs, shingle, similarity, id_col, text_col).select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -103,6 +103,25 @@ def test_near_copies_against_all_pairs(spark):
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, rows)).collect()} == want
 
 
+def test_near_copies_among_boilerplate(spark):
+    """A large group of texts that are alike but not enough hides none of its copies."""
+    rnd = random.Random(6)
+
+    def words(n):
+        return ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    common, rows, want = words(240), [], {}
+    for k in range(800):
+        own = words(30) + common + words(30)
+        rows.append((k, " ".join(own)))
+        want[k] = k
+        if k < 80:
+            for i in rnd.sample(range(300), 1 + k % 5):
+                own[i] = "other"
+            rows.append((1000 + k, " ".join(own)))
+            want[1000 + k] = k
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, rows)).collect()} == want
+
+
 def test_languages(spark, docs):
     model = langid.fit(docs)
     from pyspark.sql import functions as F
