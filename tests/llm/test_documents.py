@@ -122,6 +122,20 @@ def test_near_copies_among_boilerplate(spark):
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, rows)).collect()} == want
 
 
+def test_near_copies_with_repeated_lines(spark):
+    """How often a line is repeated is nothing to the set of shingles."""
+    rnd = random.Random(7)
+
+    def words(n):
+        return ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    rows = []
+    for k in range(60):
+        head, line, tail = words(40), words(8), words(40)
+        rows += [(k + 100 * i, " ".join(head + line * times + tail)) for i, times in enumerate((3, 30))]
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, rows)).collect()} == {
+        d: d % 100 for d, _ in rows}
+
+
 def test_languages(spark, docs):
     model = langid.fit(docs)
     from pyspark.sql import functions as F
