@@ -136,6 +136,20 @@ def test_near_copies_with_repeated_lines(spark):
         d: d % 100 for d, _ in rows}
 
 
+def test_near_copies_of_long_texts_at_the_bound(spark):
+    """Texts of 1,900 shingles whose similarity is just below or above 0.8."""
+    rnd = random.Random(8)
+    rows, want = [], {}
+    for k in range(60):
+        text = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(1904)]
+        edits = 42 + k % 2          # 5 shingles each: 1690 of 2110 are common, 0.801, or 1685 of 2115, 0.797
+        for i in range(edits):
+            text[20 + 40 * i] += "x"
+        rows += [(k, " ".join(w.rstrip("x") for w in text)), (100 + k, " ".join(text))]
+        want |= {k: k, 100 + k: k if edits == 42 else 100 + k}
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, rows)).collect()} == want
+
+
 def test_languages(spark, docs):
     model = langid.fit(docs)
     from pyspark.sql import functions as F
