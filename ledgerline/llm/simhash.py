@@ -296,12 +296,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of `docs` that are the first of their group; columns unchanged.
 
-    Of repeated rows of one id any one stays. Rows without an id have no group and stay.
+    A group keeps its row of smallest id (and of these the one with the smallest hash of its text), once. Rows of one id
+    with unlike texts are in different groups. Of equal ids and texts the smallest row by all columns stays. Rows without
+    an id have no group and stay.
     """
-    groups = near_duplicates(docs, shingle, similarity)
-    drop = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(drop, "doc_id", "left_anti")
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    once = left.join(repeated.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(repeated.select("doc_id"), "doc_id", "left_anti").select(*docs.columns).unionAll(
-        once.select(*docs.columns))
+    groups = similar_rows(docs, shingle, similarity)
+    marked = docs.withColumn("_mark", F.xxhash64(F.col("text").cast("string")))
+    drop = groups.where("not first").select("doc_id", F.col("mark").alias("_mark")).distinct()
+    left = marked.join(drop, ["doc_id", "_mark"], "left_anti")
+    repeated = (marked.where("doc_id is not null").groupBy("doc_id", "_mark").agg(F.count("*").alias("n")).where("n > 1")
+                .select("doc_id", "_mark"))
+    once = (left.join(repeated, ["doc_id", "_mark"], "left_semi").groupBy("doc_id", "_mark")
+            .agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
+    return left.join(repeated, ["doc_id", "_mark"], "left_anti").select(*docs.columns).unionAll(once.select(*docs.columns))

@@ -150,6 +150,13 @@ def test_near_copies_of_long_texts_at_the_bound(spark):
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, rows)).collect()} == want
 
 
+def test_keep_one_of_repeated_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(50)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c + " more"), (3, c)]
+    kept = sorted(tuple(r) for r in simhash.keep_one(frame(spark, rows)).collect())
+    assert kept[:2] == [(1, a), (2, b)] and len(kept) == 3 and kept[2] in rows[3:5]
+
+
 def test_languages(spark, docs):
     model = langid.fit(docs)
     from pyspark.sql import functions as F
