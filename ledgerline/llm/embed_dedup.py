@@ -1,11 +1,13 @@
 """Near copies among embeddings by sorted projection passes.
 
-In each pass the vectors are ordered by the concatenated signs of random projections and each is compared with its
-neighbours within a window; verified pairs of all passes are joined to components. What windows leave out in dense
-groups is made up for: the members of a component are compared block by block to count their links.
+In each pass the vectors are ordered by the concatenated bits of random projections and each is compared with its
+neighbours within a window; verified pairs of all passes are joined to components. The projections are cut at medians of
+a sample, cell by cell, so that the cells of dense groups are as small as the others. Passes are added until the recall
+against brute force on sampled rows meets the aim. The members of a component are compared block by block to count their links.
 """
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +19,7 @@ from .common import cut, partitions
 from .components import connected_components
 
 BITS = 64
+log = logging.getLogger(__name__)
 
 
 def passes_for(count: int, window: int, least: float, miss: float = 1e-2) -> int:
@@ -33,10 +36,32 @@ def projections(dim: int, turn: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, turn]).normal(size=(dim, BITS))
 
 
-def sort_keys(x: np.ndarray, turn: int, seed: int) -> np.ndarray:
-    """64 signs as one number that sorts lexicographically (signed, to be a long)."""
-    signs = (x @ projections(x.shape[1], turn, seed)) >= 0
-    return np.packbits(signs, axis=1, bitorder="big").view(">u8").ravel().astype(np.uint64)
+def thresholds(sample: np.ndarray, turn: int, seed: int, least: int = 8) -> tuple[list[np.ndarray], np.ndarray]:
+    """Where to cut the projections: for each level of a tree the medians of its cells, as deep as the sample leaves
+    `least` rows to a cell, and for the bits below the means of the last cells."""
+    across = sample @ projections(sample.shape[1], turn, seed)
+    depth = max(0, int(np.log2(max(1, len(sample)) / least)))
+    cell, levels = np.zeros(len(sample), dtype=np.int64), []
+    for level in range(depth):
+        order = np.lexsort((across[:, level], cell))
+        counts = np.bincount(cell, minlength=1 << level)
+        at = np.minimum(np.cumsum(counts) - counts + counts // 2, len(sample) - 1)
+        levels.append(np.where(counts > 0, across[order[at], level], 0.0))
+        cell = cell * 2 + (across[:, level] >= levels[-1][cell])
+    means = np.zeros((1 << depth, BITS - depth))
+    np.add.at(means, cell, across[:, depth:])
+    return levels, means / np.maximum(1, np.bincount(cell, minlength=1 << depth))[:, None]
+
+
+def sort_keys(x: np.ndarray, turn: int, seed: int, cuts: tuple[list[np.ndarray], np.ndarray]) -> np.ndarray:
+    """64 bits as one number that sorts lexicographically."""
+    across, (levels, means) = x @ projections(x.shape[1], turn, seed), cuts
+    cell, bits = np.zeros(len(x), dtype=np.int64), np.empty(across.shape, dtype=bool)
+    for level, values in enumerate(levels):
+        bits[:, level] = across[:, level] >= values[cell]
+        cell = cell * 2 + bits[:, level]
+    bits[:, len(levels):] = across[:, len(levels):] >= means[cell]
+    return np.packbits(bits, axis=1, bitorder="big").view(">u8").ravel().astype(np.uint64)
 
 
 def _window_links(nodes: np.ndarray, x: np.ndarray, window: int, least: float) -> list[tuple[int, int]]:
@@ -65,7 +90,7 @@ def _window_links(nodes: np.ndarray, x: np.ndarray, window: int, least: float) -
 
 
 def near_copies(vectors: DataFrame, least: float = 0.95, window: int = 128, block: int = 512, seed: int = 6,
-                id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+                aim: float = 0.99, sampled: int = 4096, probes: int = 2048, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """`vec_id`, `n_links`, `component_id`, `kept`, one row per input row.
 
     Vectors link at a cosine (double precision) of `least` or more. Equal vectors are one node with a count, so their
@@ -74,34 +99,62 @@ def near_copies(vectors: DataFrame, least: float = 0.95, window: int = 128, bloc
     vectors are counted as several vectors; an id that comes with different vectors joins their components, and each
     row has the links of its own vector.
 
-    The number of passes follows the number of rows. All passes are one sort by (pass, key), dealt by ranges, so that
-    a dense group is split like any other; the few pairs across the end of a range are left to the other passes.
+    The number of passes follows the number of rows at first. All links of `probes` rows are then looked up by brute force;
+    while less than `aim` of them, or of those of a mean row, lie within one component, passes are added. (Even an order by
+    chance finds a pair in 2 * `window` of as many passes as rows, so this ends.) The passes of a round are one sort by
+    (pass, key), dealt by ranges, so that a dense group is split like any other; the few pairs across the end of a range
+    are left to the other passes.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vec_col)
     nodes = cut(rows.groupBy("v").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
                 .withColumn("dim", F.size("v")))
     count = nodes.count()
-    turns = passes_for(count, window, least)
-    parts = max(partitions(spark), -(-count * turns // 50_000))
+    first = passes_for(count, window, least)
     kind = rows.schema["v"].dataType.simpleString()
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    drawn = nodes.orderBy(F.xxhash64(F.lit(seed), "node")).limit(sampled).select("node", "dim", "v").toArrow()
+    samples, asked = {}, {}
+    for d in np.unique(drawn.column("dim").to_numpy()).tolist():
+        own = drawn.filter(pa.array(drawn.column("dim").to_numpy() == d))
+        samples[d] = normed(matrix(own.column("v").combine_chunks()))
+        few = max(1, min(len(samples[d]), probes * len(samples[d]) // drawn.num_rows))
+        asked[d] = own.column("node").to_numpy()[:few]
+    shared = spark.sparkContext.broadcast((samples, asked))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for i in range(0, whole.num_rows, 2048):
-                batch = whole.slice(i, 2048)
+            for i in range(0, whole.num_rows, 4096):
+                batch = whole.slice(i, 4096)
                 dims = batch.column("dim").to_numpy()
                 for dim in np.unique(dims).tolist():
-                    part = batch.filter(pa.array(dims == dim))
-                    x = normed(matrix(part.column("v")))
-                    for turn in range(turns):
-                        key = sort_keys(x, turn, seed)
-                        yield pa.RecordBatch.from_arrays(
-                            [part.column("dim"), pa.array(np.full(len(key), turn, dtype=np.int32)),
-                             pa.array((key ^ np.uint64(1 << 63)).view(np.int64)), part.column("node"), part.column("v")],
-                            ["dim", "turn", "key", "node", "v"])
-
-    keyed = nodes.mapInArrow(keys, f"dim int, turn int, key long, node long, v {kind}")
+                    if dim in shared.value[1]:
+                        part, names = batch.filter(pa.array(dims == dim)), shared.value[1][dim]
+                        ids = part.column("node").to_numpy()
+                        p, q = np.nonzero(normed(matrix(part.column("v"))) @ shared.value[0][dim][:len(names)].T >= least + 1e-9)
+                        other = ids[p] != names[q]
+                        yield pa.RecordBatch.from_arrays([pa.array(names[q][other]), pa.array(ids[p][other])], ["a", "b"])
+
+    truth = cut(nodes.mapInArrow(look_up, "a long, b long"))
+
+    def keyed(turns: range) -> DataFrame:
+        def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cuts = {}
+            for whole in batches:
+                for i in range(0, whole.num_rows, 2048):
+                    batch = whole.slice(i, 2048)
+                    dims = batch.column("dim").to_numpy()
+                    for dim in np.unique(dims).tolist():
+                        part = batch.filter(pa.array(dims == dim))
+                        x = normed(matrix(part.column("v")))
+                        for turn in turns:
+                            if (dim, turn) not in cuts:
+                                cuts[dim, turn] = thresholds(shared.value[0].get(dim, np.zeros((0, dim))), turn, seed)
+                            key = sort_keys(x, turn, seed, cuts[dim, turn])
+                            yield pa.RecordBatch.from_arrays(
+                                [part.column("dim"), pa.array(np.full(len(key), turn, dtype=np.int32)),
+                                 pa.array((key ^ np.uint64(1 << 63)).view(np.int64)), part.column("node"), part.column("v")],
+                                ["dim", "turn", "key", "node", "v"])
+        return nodes.mapInArrow(keys, f"dim int, turn int, key long, node long, v {kind}")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted; the last `window` rows are kept to meet the next ones of their pass."""
@@ -120,13 +173,31 @@ def near_copies(vectors: DataFrame, least: float = 0.95, window: int = 128, bloc
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()),
                                                   pa.array([b for _, b in links], pa.int64())], ["a", "b"])
 
-    links = (keyed.repartitionByRange(parts, "dim", "turn", "key", "node").sortWithinPartitions("dim", "turn", "key", "node")
-             .mapInArrow(compare, "a long, b long").distinct())
     # Ids that occur with several vectors hold their nodes together.
     several = rows.groupBy("vec_id").agg(F.min("v").alias("x"), F.max("v").alias("y")).where("x <> y").select("vec_id")
     same = (rows.join(several, "vec_id", "left_semi").join(nodes.select("v", "node"), "v")
             .select(F.col("vec_id").alias("a"), F.col("node").alias("b")))
-    groups = cut(connected_components(links.unionAll(same)))
+
+    def recall(groups: DataFrame) -> float:
+        """Of the links of the probes, or of those of a mean probe, the smaller share that lies within a component."""
+        ends = truth.join(groups.select(F.col("node").alias("a"), F.col("component").alias("x")), "a", "left").join(
+            groups.select(F.col("node").alias("b"), F.col("component").alias("y")), "b", "left")
+        together = F.coalesce("x", "a") == F.coalesce("y", "b")
+        found = (ends.groupBy("a").agg(F.sum(together.cast("long")).alias("k"), F.count("*").alias("n"))
+                 .agg(F.sum("k") / F.sum("n"), F.avg(F.col("k") / F.col("n"))).first())
+        return 1.0 if found[0] is None else min(found)
+
+    edges, done, step = same, 0, first
+    while True:
+        parts = max(partitions(spark), -(-count * step // 50_000))
+        links = (keyed(range(done, done + step)).repartitionByRange(parts, "dim", "turn", "key", "node")
+                 .sortWithinPartitions("dim", "turn", "key", "node").mapInArrow(compare, "a long, b long").distinct())
+        groups = cut(connected_components(edges.unionAll(links)))
+        done, reached = done + step, recall(groups)
+        log.info("%d passes, recall %.4f on sampled rows", done, reached)
+        if reached >= aim:
+            break
+        edges, step = groups.select(F.col("node").alias("a"), F.col("component").alias("b")), max(first, done // 2)
     roots = groups.select("component").distinct().select(F.col("component").alias("node"), "component")
     members = cut(groups.unionAll(roots).join(nodes, "node").select("component", "dim", "node", "copies", "v"))
     sizes = members.groupBy("component", "dim").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))

@@ -67,6 +67,19 @@ def test_near_copies(spark, clustered):
     assert embed_dedup.near_copies(vectors(spark, [])).count() == 0
 
 
+def test_near_copies_in_a_dense_direction(spark):
+    """A third of the rows lies around one direction; pairs of copies among them are found like any others."""
+    rng = np.random.default_rng(3)
+    x = unit(rng.normal(size=(20_000, 64)))
+    x[:6000] = unit(x[0] + unit(rng.normal(size=(6000, 64))) * 0.484)
+    x[6000:6600] = unit(x[:600] + unit(rng.normal(size=(600, 64))) * 0.3)
+    got = {r.vec_id: r.component_id for r in embed_dedup.near_copies(
+        vectors(spark, [(i, v.tolist(), 1) for i, v in enumerate(x)])).select("vec_id", "component_id").collect()}
+    a, b = np.nonzero(np.triu(x[:6600] @ x[:6600].T >= 0.95 + 1e-6, 1))
+    joined = np.mean([got[i] == got[j] for i, j in zip(a.tolist(), b.tolist())])
+    assert len(a) >= 300 and joined >= 0.98, (len(a), joined)
+
+
 def page_rows():
     long, other = "x" * 1200, "é" * 700
     return [(1, "http://a", long), (2, "http://b\r\nc", long), (3, None, long), (3, None, long), (4, "u", "short"), (5, "u", "short"),
