@@ -1,11 +1,11 @@
 """Helpers of the operators: tables, checkpoints, packed byte planes and ragged gathers."""
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import shared_dir
 
@@ -14,6 +14,30 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def column(name: str) -> Column:
+    """A column by its whole name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free(taken: list[str], *names: str) -> list[str]:
+    """`names`, each with underscores behind it until no column of `taken` is called so (in any case)."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def map_all(docs: DataFrame, run: Callable, extra: list[T.StructField]) -> DataFrame:
+    """`docs.mapInArrow(run)` with columns called c0, c1, ... inside, and their own names, types and `extra` outside."""
+    own = docs.schema.fields
+    inner = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(own)]
+    made = docs.toDF(*[f.name for f in inner]).mapInArrow(run, T.StructType(inner + extra))
+    return made.toDF(*docs.columns, *[f.name for f in extra])
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` to the shared checkpoint folder and go on from there, with no lineage behind it."""
     context = df.sparkSession.sparkContext

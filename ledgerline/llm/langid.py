@@ -2,15 +2,17 @@
 from __future__ import annotations
 
 import itertools
+import json
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import cut
+from .common import column, cut, map_all
 
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 4          # characters of the longest n-gram
@@ -31,22 +33,24 @@ def in_training(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 != 1, F.lit(False))
 
 
-def fit(docs: DataFrame, rows_per_language: int = 600, most_words: int = 40_000, most_grams: int = 40_000,
+def fit(docs: DataFrame, rows_per_language: int = 600,
         id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict:
     """The model: languages, word rows and n-gram rows with log frequencies per language.
 
-    It learns from the whole texts of about `rows_per_language` rows of each language, picked by a hash of the id,
-    and keeps the `most_words` and `most_grams` most frequent features. These bounds do not depend on the input's size, so the
-    model can be collected and broadcast. Rows with null text or language teach nothing.
+    It learns from the whole texts of about `rows_per_language` rows of each language, picked by a hash of the id.
+    This bound does not depend on the input's size, so the model can be collected and broadcast; all words and n-grams of
+    these rows are kept. Rows with null text or language teach nothing, a language without any word in its rows is not
+    learned. Repeated rows count as often as they come. An empty table gives a model without languages.
+
+    A feature that a language lacks has the same floor in all languages, that of the one with most text: a language
+    known from few words gains nothing from words it does not have.
     """
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & in_training(id_col)).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
     sizes = {r[0]: r[1] for r in known.groupBy("lang").agg(F.count("*")).collect()}
     if not sizes:
         return {"langs": [], "words": {}, "grams": {}}
-    share = F.lit(1.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, rows_per_language / n).otherwise(share)
+    shares = F.from_json(F.lit(json.dumps({k: rows_per_language / n for k, n in sizes.items()})), "map<string,double>")
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(4), "id"), 11) / F.lit(float(1 << 53))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,21 +66,30 @@ def fit(docs: DataFrame, rows_per_language: int = 600, most_words: int = 40_000,
                     for i in range(len(padded) - size + 1):
                         features["g" + padded[i:i + size]] += n
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(features)), pa.array(list(features)), pa.array(list(features.values()), pa.int64())],
-                ["lang", "feature", "n"])
-
-    counts = cut(known.where(draw < share).select("lang", "text").mapInArrow(count, "lang string, feature string, n long")
-                 .groupBy("lang", "feature").agg(F.sum("n").alias("n")))
-    langs = sorted(sizes)
-    model = {"langs": langs}
-    for name, letter, most in (("words", "w", most_words), ("grams", "g", most_grams)):
-        own = counts.where(F.substring("feature", 1, 1) == letter)
-        totals = dict(own.groupBy("lang").agg(F.sum("n")).collect())
-        rows = (own.groupBy("feature").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-                .orderBy(F.desc("total"), "feature").limit(most).collect())
-        model[name] = {r.feature[1:]: [float(np.log((r.by.get(k, 0) + 0.5) / (totals.get(k, 0) + 0.5 * most))) for k in langs]
-                       for r in rows}
-    return model
+                [pa.array([lang] * len(features), pa.string()), pa.array(list(features), pa.string()),
+                 pa.array(list(features.values()), pa.int64())], ["lang", "feature", "n"])
+
+    counts = cut(known.where(draw < shares[F.col("lang")]).select("lang", "text")
+                 .mapInArrow(count, "lang string, feature string, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")))
+    found = counts.toArrow()
+    langs = sorted(set(found.column("lang").to_pylist()))
+    at = {lang: i for i, lang in enumerate(langs)}
+    own: dict[str, dict[str, dict[int, int]]] = {"w": {}, "g": {}}
+    for lang, feature, n in zip(*[found.column(c).to_pylist() for c in ("lang", "feature", "n")]):
+        own[feature[0]].setdefault(feature[1:], {})[at[lang]] = n
+    return {"langs": langs, "words": _frequencies(own["w"], len(langs)), "grams": _frequencies(own["g"], len(langs))}
+
+
+def _frequencies(counts: dict[str, dict[int, int]], langs: int) -> dict[str, list[float]]:
+    """Log frequencies per language of every feature, in the order of features."""
+    totals = [0] * langs
+    for by in counts.values():
+        for k, n in by.items():
+            totals[k] += n
+    spread = 0.5 * len(counts)
+    floor = math.log(0.5 / (max(totals, default=0) + spread)) if counts else 0.0
+    return {feature: [math.log((by[k] + 0.5) / (totals[k] + spread)) if k in by else floor for k in range(langs)]
+            for feature, by in sorted(counts.items())}
 
 
 class Scorer:
@@ -139,23 +152,26 @@ class Scorer:
         return self.langs[best], float(1 / np.exp(total).sum())
 
 
-def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """`lang_pred` and `score` (the share of the best language) beside the id and the columns of `keep`.
+def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+             names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The likeliest language and its share (columns called `names`) beside the id and the columns of `keep`.
 
-    Only the text is looked at. Null texts, texts without a letter, and all texts under a model that has
-    learned nothing are `und` with score 0.
+    Only the text is looked at, all of it, whatever its length. Null texts, texts without a letter, and all texts under a
+    model that has learned nothing are `und` with score 0. Of languages that are equally likely the first by name is
+    taken. One row per input row; repeated rows get the same answer.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     columns = [id_col] + [c for c in keep if c != id_col]
+    wanted = docs.select(*[column(c) for c in dict.fromkeys(columns + [text_col])])
+    at = wanted.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            made = [scorer.predict(v.as_py()) for v in batch.column(text_col)]
+            made = [scorer.predict(v.as_py()) for v in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in columns] + [pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())],
-                columns + ["lang_pred", "score"])
+                [*batch.columns, pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())],
+                [*batch.schema.names, *names])
 
-    wanted = docs.select(*dict.fromkeys(columns + [text_col]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
-    return wanted.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    made = map_all(wanted, run, [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    return made if text_col in columns else made.drop(text_col)

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.sinks import stage
-from .common import cut, unit
+from .common import column, cut, free, unit
 
 
 def tokens(text: str = "text") -> Column:
@@ -89,18 +89,21 @@ def calibrate(cells: DataFrame, share: float) -> DataFrame:
 
 
 def mix_probabilities(docs: DataFrame, share: float = 0.5, power: float = 0.7,
-                      targets: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Documents with `_source`, `_lang`, `_topic`, `_tokens` and the calibrated cells (one row per combination).
+                      targets: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Documents with four columns more (source, language, topic, tokens), the calibrated cells (one row per combination)
+    and the names of the four columns, none of which `docs` has.
 
-    Null sources and languages are the value `unknown`. Targets default to tempered shares.
+    Null sources and languages are the value `unknown`. Targets default to tempered shares; those given are by
+    `source`, `lang` and `topic`.
     """
-    dims = {"_source": F.coalesce("source", F.lit("unknown")), "_lang": F.coalesce("lang", F.lit("unknown")),
-            "_topic": topic(), "_tokens": tokens()}
-    marked = docs.withColumns(dims)
-    cells = cut(marked.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens")))
-    wanted = targets or {d: tempered(cells, d, power) for d in ("_source", "_lang", "_topic")}
+    names = free(docs.columns, "_source", "_lang", "_topic", "_tokens")
+    values = [F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), topic(), tokens()]
+    marked = docs.withColumns(dict(zip(names, values)))
+    dims = ["source", "lang", "topic"]
+    cells = cut(marked.groupBy(*[F.col(n).alias(d) for n, d in zip(names, dims)]).agg(F.sum(names[3]).alias("tokens")))
+    wanted = targets or {d: tempered(cells, d, power) for d in dims}
     # A table of known size: Spark sends it to the documents instead of shuffling them.
-    return marked, stage(docs.sparkSession, calibrate(rake(cells, wanted), share), "cells")
+    return marked, stage(docs.sparkSession, calibrate(rake(cells, wanted), share), "cells"), names
 
 
 def draw(docs: DataFrame) -> Column:
@@ -110,22 +113,28 @@ def draw(docs: DataFrame) -> Column:
 
 def mix_sources(docs: DataFrame, share: float = 0.5, power: float = 0.7,
                 targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """`doc_id`, `source`, `lang`, `topic`, `tokens`, `probability`, `sampled`, one row per document."""
-    marked, cells = mix_probabilities(docs, share, power, targets)
-    small = marked.select("doc_id", "_source", "_lang", "_topic", "_tokens", draw(docs).alias("_u"))
-    joined = small.join(cells.select("_source", "_lang", "_topic", "probability"), ["_source", "_lang", "_topic"])
-    return joined.select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"),
-                         F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), "probability",
-                         (F.col("_u") < F.col("probability")).alias("sampled"))
+    """`doc_id`, `source`, `lang`, `topic`, `tokens`, `probability`, `sampled`, one row per document.
+
+    Null and empty texts have no tokens and a probability of zero unless their cell holds other texts. Repeated rows
+    are drawn alike. An empty table gives an empty table; columns beyond id, text, source and language are not looked at.
+    """
+    marked, cells, (source, lang, kind, count) = mix_probabilities(docs, share, power, targets)
+    small = marked.select("doc_id", F.col(source).alias("source"), F.col(lang).alias("lang"), F.col(kind).alias("topic"),
+                          F.col(count).alias("tokens"), draw(docs).alias("u"))
+    joined = small.join(cells.select("source", "lang", "topic", "probability"), ["source", "lang", "topic"])
+    return joined.select("doc_id", "source", "lang", "topic", "tokens", "probability",
+                         (F.col("u") < F.col("probability")).alias("sampled"))
 
 
 def sample_documents(docs: DataFrame, share: float = 0.5, power: float = 0.7,
                      targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """The sampled rows of `docs`, columns unchanged.
+    """The sampled rows of `docs`, columns unchanged whatever they are called.
 
     The texts are not shuffled: the drawn rows are those whose number lies below their cell's probability, and
     cells come to the documents by a join on the small side, whose size Spark checks.
     """
-    marked, cells = mix_probabilities(docs, share, power, targets)
-    return (marked.join(cells.select("_source", "_lang", "_topic", "probability"), ["_source", "_lang", "_topic"])
-            .where(draw(docs) < F.col("probability")).select(*docs.columns))
+    marked, cells, names = mix_probabilities(docs, share, power, targets)
+    chance, u = free(marked.columns, "_probability", "_draw")
+    known = cells.select(*[F.col(d).alias(n) for d, n in zip(("source", "lang", "topic"), names)], F.col("probability").alias(chance))
+    return (marked.withColumn(u, draw(docs)).join(known, names[:3]).where(F.col(u) < F.col(chance))
+            .select(*[column(c) for c in docs.columns]))

@@ -17,9 +17,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut, mix, texts
+from .common import column, cut, free, mix, texts
 from .components import connected_components
-from .set_join import similar_groups
 
 # Fixed: generator polynomial of the binary Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 GENERATOR = 0b101011100011
@@ -99,8 +98,8 @@ def majority(hashes: np.ndarray) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 4, words: int = 1, sketch: int = 0, sketch_shingle: int = 5,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc_id`, `prints` (array of `words` fingerprints), `least` (the `sketch` smallest hashes of shingles of
-    `sketch_shingle` words, packed).
+    """`doc_id`, `mark` (hash of the text), `prints` (array of `words` fingerprints), `least` (the `sketch` smallest hashes
+    of shingles of `sketch_shingle` words, packed).
 
     Null and empty texts have the fingerprint zero. The first fingerprint is made of the hashes as they are,
     any further ones of the hashes mixed anew.
@@ -121,11 +120,12 @@ def fingerprints(docs: DataFrame, shingle: int = 4, words: int = 1, sketch: int
         for batch in batches:
             made = [one(t) for t in texts(batch, "text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([m[0] for m in made], pa.list_(pa.int64())),
-                 pa.array([m[1] for m in made], pa.binary())], ["doc_id", "prints", "least"])
+                [batch.column("doc_id"), batch.column("mark"), pa.array([m[0] for m in made], pa.list_(pa.int64())),
+                 pa.array([m[1] for m in made], pa.binary())], ["doc_id", "mark", "prints", "least"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, prints array<long>, least binary"))
+    text = F.col(text_col).cast("string")
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+            .mapInArrow(run, "doc_id long, mark long, prints array<long>, least binary"))
 
 
 def _signed(x: int) -> int:
@@ -275,37 +275,31 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, most: int = 4,
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
 
 
-def similar_rows(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc_id`, `mark` (hash of the text), `component_id`, `first`: rows with an id, in groups of near copies.
-
-    Two texts are near copies if the sets of their shingles of `shingle` words have a similarity of `similarity` or more.
-    Fingerprints can't tell at these distances (some 8 bits of 64 differ), so the sets themselves are joined, all of them.
-    """
-    own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"),
-                                                       F.col(text_col).cast("string").alias("text"))
-    return similar_groups(own, lambda text: np.unique(shingle_hashes(text, shingle)), similarity)
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc_id`, `component_id`: documents of one group of near copies, named by its smallest id."""
-    return similar_rows(docs, shingle, similarity, id_col, text_col).select("doc_id", "component_id")
-
-
-def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of `docs` that are the first of their group; columns unchanged.
+def keep_one(docs: DataFrame, shingle: int = 4, most: int = 4) -> DataFrame:
+    """The rows of `docs` that are the first of their group; columns unchanged whatever they are called or hold.
 
-    A group keeps its row of smallest id (and of these the one with the smallest hash of its text), once. Rows of one id
-    with unlike texts are in different groups. Of equal ids and texts the smallest row by all columns stays. Rows without
-    an id have no group and stay.
+    Groups are those of `simhash_groups`, but of rows: two rows of one id are in one group only if their fingerprints are.
+    A group keeps its row of smallest id (and of these the one with the smallest hash of its text), once: of rows with
+    equal id and text the one whose JSON sorts first. Null and empty texts share the fingerprint zero and are a group.
+    Rows without an id have no group and stay. An empty table gives an empty table.
     """
-    groups = similar_rows(docs, shingle, similarity)
-    marked = docs.withColumn("_mark", F.xxhash64(F.col("text").cast("string")))
-    drop = groups.where("not first").select("doc_id", F.col("mark").alias("_mark")).distinct()
-    left = marked.join(drop, ["doc_id", "_mark"], "left_anti")
-    repeated = (marked.where("doc_id is not null").groupBy("doc_id", "_mark").agg(F.count("*").alias("n")).where("n > 1")
-                .select("doc_id", "_mark"))
-    once = (left.join(repeated, ["doc_id", "_mark"], "left_semi").groupBy("doc_id", "_mark")
-            .agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
-    return left.join(repeated, ["doc_id", "_mark"], "left_anti").select(*docs.columns).unionAll(once.select(*docs.columns))
+    mark, row = free(docs.columns, "_mark", "_row")
+    rows = fingerprints(docs, shingle).where("doc_id is not null").select("doc_id", "mark", F.col("prints")[0].alias("p"))
+    pairs = cut(rows.groupBy("doc_id", "mark").agg(F.count("*").alias("n"), F.min("p").alias("p")))
+    nodes = cut(pairs.groupBy("p").agg(F.min(F.struct("doc_id", "mark")).alias("first")))
+    groups = connected_components(candidate_links(nodes.select(F.col("p").alias("node"), F.array("p").alias("prints")), 1, (most,)))
+    firsts = (nodes.join(groups.withColumnRenamed("node", "p"), "p", "left").groupBy(F.coalesce("component", "p").alias("group"))
+              .agg(F.min("first").alias("first")).select("first.doc_id", "first.mark"))
+    marked = docs.withColumn(mark, F.xxhash64(F.col("text").cast("string")))
+
+    def of(found: DataFrame) -> DataFrame:
+        return found.select("doc_id", F.col("mark").alias(mark))
+
+    repeated = pairs.where("n > 1")
+    out = of(pairs.join(firsts, ["doc_id", "mark"], "left_anti").unionAll(repeated)).distinct()
+    left = marked.join(out, ["doc_id", mark], "left_anti").drop(mark)
+    once = (marked.join(of(repeated.join(firsts, ["doc_id", "mark"], "left_semi")), ["doc_id", mark], "left_semi")
+            .withColumn(row, F.struct(*[column(c) for c in docs.columns])).groupBy("doc_id", mark)
+            .agg(F.min_by(row, F.to_json(row)).alias(row)))
+    return left.select(*[column(c) for c in docs.columns]).unionAll(
+        once.select(*[F.col(row).getField(c).alias(c) for c in docs.columns]))
