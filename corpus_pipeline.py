@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.llm import bpe, langid, mixing, secrets, simhash
+from ledgerline.llm.common import column, free
 from ledgerline.session import staged_root
 
 LEAST_SCORE = 0.5
@@ -19,14 +20,15 @@ TOKEN_SHARE = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised. Texts without a letter, or with no clearly likeliest language, go."""
-    columns = docs.columns
-    named = langid.identify(docs, langid.fit(docs), keep=tuple(columns))
-    return named.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*columns)
+    names = tuple(free(docs.columns, "lang_pred", "score"))
+    named = langid.identify(docs, langid.fit(docs), keep=tuple(docs.columns), names=names)
+    sure = (F.col(names[0]) != langid.UNKNOWN) & (F.col(names[1]) >= LEAST_SCORE)
+    return named.where(sure).select(*[column(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies: five-word shingles, similarity 0.8 or more."""
-    return simhash.keep_one(docs, shingle=5, similarity=0.8)
+    """The document with the smallest id of each group of fingerprints: four-word shingles, links at four bits or fewer."""
+    return simhash.keep_one(docs, shingle=4, most=4)
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("language_id", identify_language), ("simhash_dedup", drop_near_copies), ("secret_scan", remove_secrets),
           ("mix_sources", mix), ("byte_bpe", encode)]
 
-# SQL can't express a fitted model, the sketches or the merges; the stages are tested one by one.
+# SQL can't express a fitted model, the fingerprints or the merges; the stages are tested one by one.
 ORACLE_SQL = None
 
 
