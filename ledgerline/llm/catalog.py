@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from . import ann, automaton_dedup, bpe, embed_dedup, langid, mixing, secrets, simhash, suffix_dedup, warc
+from . import (ann, automaton_dedup, bpe, conversations, embed_dedup, langid, merkle, mixing, pieces, secrets, simhash,
+               suffix_dedup, warc)
 from ..sources.sinks import stage
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str, sql: str | None = None):
@@ -87,3 +89,27 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_secret_scan")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(read(spark, sf_dir, "documents")).drop("redacted")
+
+
+@query("op11_distinct_chunks")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_texts(read(spark, sf_dir, "documents"), pieces.load_vocabulary(PIECE_FILE), ids=False)
+
+
+def merkle_rows(docs: DataFrame, height: int = merkle.HEIGHT) -> DataFrame:
+    """Proofs of all documents, those of every seventh document (by checksum of its id) folded from a leaf with one character more."""
+    bad = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    more = F.when(bad, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return (merkle.manifest(docs, changed={"n_chars": more}, height=height, siblings=False)
+            .select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"))
+
+
+@query("op12_octopus_multiproof")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_rows(read(spark, sf_dir, "documents"))
+
+
+@query("op13_deepening_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations")
+    return conversations.with_empty(conversations.report(conversations.repair(conversations.damage(rows))), rows)
