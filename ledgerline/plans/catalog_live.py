@@ -7,7 +7,7 @@ from ..operators import dashboards as db, maintenance as mt
 from ..operators.timeline import recent_values
 from ..session import fresh_path
 from ..sources.sinks import stage
-from ..streaming import runner as rn, views as vw
+from ..streaming import keyed as ky, panelog as pl, runner as rn, views as vw
 from . import relations as r
 from .registry import query
 from .relations import pct, rnd, sql
@@ -20,10 +20,17 @@ def at(col):
     return F.date_format(col, "yyyy-MM-dd HH:mm:ss").alias(col)
 
 
+def pane_log(spark, sf, of, partial, merge, pane, label):
+    """Panes of a stream of several unordered batches; rows more than a day late are corrections."""
+    base = fresh_path(spark, label)
+    log = pl.PaneLog(spark, f"{base}/log", merge, 86400, pane, parts=2)
+    r.replay(spark, sf, lambda events: pl.count_panes(of(events), partial, log, f"{base}/checkpoint"))
+    return log
+
+
 def panes(spark, sf):
-    """Pane counts of the build stream, drained to a table; rows may come in any order."""
-    return rn.drain_partials(spark, r.builds_of(r.unordered_stream(spark, sf)),
-                             lambda df: vw.pane_counts(df, f"{QUARTER} seconds"), vw.merge_panes, "panes")
+    """Pane counts of the build stream, in closed, open and corrected parts."""
+    return pane_log(spark, sf, r.builds_of, lambda df: vw.pane_counts(df, f"{QUARTER} seconds"), vw.merge_panes, "pane", "panes").read()
 
 
 HOT = f"""SELECT {WS} AS window_start, entity, count(*) AS n, max_by(star, id) AS star, max_by(ename, id) AS ename,
@@ -69,6 +76,17 @@ def recent_entries(spark, sf):
         "entity", "star", "constellation", "level", "damage", "weapon", "artifact", "pos")
 
 
+@query("j3_recent_board", sql("""SELECT entity, star, constellation, level, damage, weapon, artifact, pos FROM (
+    SELECT *, row_number() OVER (ORDER BY ts DESC, id DESC)::INTEGER AS pos FROM (
+      SELECT * FROM builds QUALIFY row_number() OVER (PARTITION BY entity ORDER BY ts DESC, id DESC) = 1)) WHERE pos <= 3""", "builds"))
+def recent_board(spark, sf):
+    """The three entities with the newest messages, from a state of three rows, over unordered batches."""
+    base = fresh_path(spark, "recent")
+    log = ky.recent_log(spark, f"{base}/log")
+    r.replay(spark, sf, lambda events: ky.keep_recent_list(r.builds_of(events), log, f"{base}/checkpoint", keep=3))
+    return vw.recent_list(log.read("recent"), 3).select("entity", "star", "constellation", "level", "damage", "weapon", "artifact", "pos")
+
+
 @query("j4_running_total", "SELECT count(*) AS n FROM events")
 def running_total(spark, sf):
     return rn.drain(spark, vw.running_total(r.event_stream(spark, sf)), "total")
@@ -79,6 +97,15 @@ def running_counts(spark, sf):
     return rn.drain(spark, vw.running_counts(r.draws_of(r.event_stream(spark, sf)), "item"), "counts")
 
 
+@query("j6_counts_log", sql("SELECT item, count(*) AS n FROM draws GROUP BY 1", "draws"))
+def counts_log(spark, sf):
+    """Counts of all items in a change log that is compacted on the way."""
+    base = fresh_path(spark, "counts")
+    log = ky.counts_log(spark, f"{base}/log", "item", compact_after=2)
+    r.replay(spark, sf, lambda events: ky.keep_counts(vw.running_counts(r.draws_of(events), "item"), log, f"{base}/checkpoint"), 4)
+    return log.read("counts")
+
+
 FIVE = "count(CASE WHEN star=5 OR type IN ('role','weapon') THEN 1 END)"
 
 
@@ -88,8 +115,7 @@ FIVE = "count(CASE WHEN star=5 OR type IN ('role','weapon') THEN 1 END)"
       SELECT *, row_number() OVER (PARTITION BY ws ORDER BY n DESC, item) AS pos FROM p) WHERE pos <= 50 GROUP BY 1)
   SELECT {WS.replace('ws*', 't.ws*')} AS window_start, draws, five_rate, top_item, items FROM t JOIN i ON t.ws=i.ws""", "draws"))
 def draw_windows(spark, sf):
-    counted = rn.drain_partials(spark, r.draws_of(r.unordered_stream(spark, sf)),
-                                lambda df: vw.draw_panes(df, "1 hour"), vw.merge_draw_panes, "draws")
+    counted = pane_log(spark, sf, r.draws_of, lambda df: vw.draw_panes(df, "1 hour"), vw.merge_draw_panes, "window_start", "draws").read()
     text = F.array_join(F.transform("items", lambda e: F.concat(e["name"], F.lit(":"), e["count"])), ",")
     return vw.draw_windows(counted, 50).select(at("window_start"), "draws", "five_rate", "top_item", text.alias("items"))
 
@@ -124,6 +150,48 @@ def ranking_deltas(spark, sf):
     return top.select("entity", "score", "delta")
 
 
+def live_log(spark, sf, path=None):
+    """The ranking of three over unordered batches, with its change log."""
+    base = fresh_path(spark, "ranking")
+    log = ky.ranking_log(spark, f"{base}/log", compact_after=2)
+    r.replay(spark, sf, lambda events: ky.keep_ranking(r.scores_of(events), log, f"{base}/checkpoint", 6, 2, base), SHOWINGS)
+    return base, log
+
+
+SHOWINGS = 4
+
+
+@query("j7_change_log", sql(LATEST, "live"))
+def change_log(spark, sf):
+    """Last scores from the log of changed entities, some batches of it compacted."""
+    return live_log(spark, sf)[1].read("latest").select("entity", "score", "star", "ability", "look")
+
+
+@query("j9_live_deltas", sql(f""", k AS (SELECT unnest(range({SHOWINGS}))::INTEGER AS batch),
+  known AS (SELECT k.batch, l.* FROM k JOIN live l ON l.id % {SHOWINGS} <= k.batch
+    QUALIFY row_number() OVER (PARTITION BY k.batch, entity ORDER BY ts DESC, l.id DESC) = 1),
+  tops AS (SELECT batch, entity, score, coalesce(star, 5) AS star, coalesce(ability, score) AS ability, coalesce(look, score) AS look,
+      row_number() OVER (PARTITION BY batch ORDER BY score DESC, entity)::INTEGER AS pos FROM known QUALIFY pos <= 6)
+  SELECT batch, entity, score, star, ability, look, pos,
+    coalesce({rnd('score - lag(score) OVER (PARTITION BY entity ORDER BY batch)', 1)}, 0e0) AS delta FROM tops""", "live"))
+def live_deltas(spark, sf):
+    """Every showing of the top six, each with the delta against the entity's last showing."""
+    base, _ = live_log(spark, sf)
+    return spark.read.parquet(f"{base}/top").select("batch", "entity", "score", "star", "ability", "look", "pos", "delta")
+
+
+@query("j8_keyed_history", sql("""SELECT entity, count(*) AS n_kept, string_agg(CASE WHEN rn <= 22 THEN score::VARCHAR END, ',' ORDER BY ts, id) AS shown
+  FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY ts DESC, id DESC) AS rn FROM live) WHERE rn <= 60 GROUP BY 1""", "live"))
+def keyed_history(spark, sf):
+    """The newest sixty scores of each entity from list state, over unordered batches and restarts."""
+    base = fresh_path(spark, "history")
+    log = ky.history_log(spark, f"{base}/log", compact_after=2)
+    r.replay(spark, sf, lambda events: ky.keep_histories(r.scores_of(events), log, f"{base}/checkpoint"), 4)
+    shown = F.slice("values", F.greatest(F.lit(1), F.size("values") - 21), 22)
+    return log.read("history").select("entity", F.size("values").cast("bigint").alias("n_kept"),
+                                      F.array_join(shown.cast("array<string>"), ",").alias("shown"))
+
+
 @query("j8_score_history", sql("""SELECT entity, count(*) AS n_kept, string_agg(CASE WHEN rn <= 22 THEN score::VARCHAR END, ',' ORDER BY ts, id) AS shown
   FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY ts DESC, id DESC) AS rn FROM live) WHERE rn <= 60 GROUP BY 1""", "live"))
 def score_history(spark, sf):

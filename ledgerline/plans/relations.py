@@ -156,6 +156,19 @@ def unordered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_stream(spark, "parquet", events.schema, path, maxFilesPerTrigger=-(-files // 3))
 
 
+def replay(spark: SparkSession, sf_dir: str, run, batches: int = 3) -> None:
+    """Feed the events to a stream in `batches` batches, none of them in order of time; the query stops and starts again for each.
+
+    `run` gets the stream and starts a query that takes what is there.
+    """
+    from ..streaming.views import open_stream
+    path = fresh_path(spark, "replay")
+    events = table(spark, sf_dir, "events")
+    for i in range(batches):
+        events.filter(F.pmod("event_id", F.lit(batches)) == i).write.mode("append").parquet(path)
+        run(open_stream(spark, "parquet", events.schema, path)).awaitTermination()
+
+
 def banners(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Draws per quarter, segment and entity: a table of its own, written once."""
     customer = table(spark, sf_dir, "customer").select(

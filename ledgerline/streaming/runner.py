@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import fresh_path
-from .views import latest_scores, ranking
 
 
 def start(view: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "update",
@@ -124,24 +123,9 @@ def score_history(spark: SparkSession, scores: DataFrame, path: str, checkpoint:
 
 def live_ranking(spark: SparkSession, scores: DataFrame, path: str, checkpoint: str, n: int = 6,
                  interval: str | None = None, batches: int = 20) -> StreamingQuery:
-    """Top scores after every batch, each with the delta against when it was last in the top.
+    """Top scores after every batch, each with the delta against when it was last in the top, published under `path`/top.
 
-    Under `path`: `latest` (last score per entity), `shown` (score at the last showing), `top`. The newest
-    `batches` of each stay.
+    The newest `batches` stay. The state is the change log `path`/log of `keyed.keep_ranking`.
     """
-    def step(batch: DataFrame, batch_id: int) -> None:
-        known = before(spark, f"{path}/latest", batch_id)
-        fresh = latest_scores(batch)
-        if known is not None:
-            cols = [c for c in fresh.columns if c != "entity"]
-            both = known.unionByName(fresh)
-            fresh = both.groupBy("entity").agg(F.max(F.struct(*cols)).alias("s")).select("entity", "s.*")
-        publish(fresh, batch_id, f"{path}/latest")
-        latest = spark.read.parquet(f"{path}/latest/batch={batch_id}")
-        top, shown = ranking(latest, before(spark, f"{path}/shown", batch_id), n)
-        publish(top, batch_id, f"{path}/top")
-        publish(shown, batch_id, f"{path}/shown")
-        for name in ("latest", "shown", "top"):
-            drop_batch(spark, f"{path}/{name}", batch_id - max(2, batches))
-
-    return start(scores, step, checkpoint, "append", interval)
+    from .keyed import keep_ranking, ranking_log
+    return keep_ranking(scores, ranking_log(spark, f"{path}/log"), checkpoint, n, path=path, batches=batches, interval=interval)
