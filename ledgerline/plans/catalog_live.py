@@ -7,9 +7,9 @@ from ..operators import dashboards as db, maintenance as mt
 from ..operators.timeline import recent_values
 from ..session import fresh_path
 from ..sources.sinks import stage
-from ..streaming import keyed as ky, panelog as pl, runner as rn, views as vw
+from ..streaming import cycle as cy, keyed as ky, panelog as pl, runner as rn, views as vw
 from . import relations as r
-from .registry import query
+from .registry import ORACLES, query
 from .relations import pct, rnd, sql
 
 HOUR, QUARTER = 3600, 900
@@ -249,6 +249,15 @@ def detail_cycle(spark, sf):
     return vw.detail_cycle(counted, last, 86400, CYCLE).withColumn("snapshot_time", at("snapshot_time"))
 
 
+@query("j10_cycle_stream", ORACLES["j10_detail_cycle"])
+def cycle_stream(spark, sf):
+    """The cycle as a stream in order of time: snapshots are appended when due, those over twelve hours old are forgotten."""
+    base = fresh_path(spark, "cycle")
+    cycle = cy.SnapshotCycle(spark, f"{base}/snapshots", 86400, CYCLE, pane=QUARTER)
+    r.replay(spark, sf, lambda events: cycle.start(r.builds_of(events), f"{base}/checkpoint"), in_order=True)
+    return cycle.read().withColumn("snapshot_time", at("snapshot_time"))
+
+
 DIST = "||','||".join(f"""'"c{c}":'||({pct(f'count(CASE WHEN constellation={c} THEN 1 END)', 'count(*)', 1)})::VARCHAR""" for c in range(7))
 
 

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import percent, round_half_up
 from ..operators import allocate as al, dashboards as db, maintenance as mt, reconcile as rc, timeline as tl
 from ..operators import usage as us
-from ..sources import readers as rd
+from ..session import fresh_path
+from ..sources import ranged as rt, readers as rd
 from ..sources.sinks import stage as write_once
 from . import relations as r
-from .registry import query
+from .registry import ORACLES, query
 from .relations import eavg, esum, pct, rnd, sql
 
 USAGE_COLS = "period, entity, star, own_count, use_count, users, own_rate, use_rate, avg_constellation, avg_level"
@@ -440,6 +441,57 @@ def retain(spark, sf):
     return mt.retain(events, "ts", events.agg(F.max("ts")).scalar(), "7 DAYS").select("event_id", "event_type")
 
 
+# -- the same changes on tables of files with key ranges ------------------------------------------------
+
+def ranged(spark, rows, key, label):
+    table = rt.RangedTable(spark, fresh_path(spark, label), key, 500)
+    table.create(rows)
+    return table
+
+
+@query("a16_upsert_files", ORACLES["a16_upsert"])
+def upsert_files(spark, sf):
+    """Only files that hold a key of the new rows are written; a second run replaces none."""
+    cols = ["period", "entity", "use_rate", "own_rate"]
+    table = ranged(spark, r.usage(spark, sf, "F").select(*cols), "period", "usage")
+    new = r.usage(spark, sf, "O").select(*cols)
+    table.upsert(new, ["period", "entity"], ["use_rate"])
+    if table.upsert(new, ["period", "entity"], ["use_rate"]):
+        raise AssertionError("a rerun changed files")
+    return table.read()
+
+
+@query("a17_insert_files", ORACLES["a17_insert_ignore"])
+def insert_files(spark, sf):
+    orders = r.table(spark, sf, "orders").select(F.col("o_custkey").alias("uid"), F.col("o_orderkey").alias("orderkey"), "o_orderstatus")
+    old = orders.filter("o_orderstatus = 'F'").groupBy("uid").agg(F.min("orderkey").alias("orderkey"))
+    table = ranged(spark, old, "uid", "first")
+    table.insert_ignore(orders.filter("o_orderstatus <> 'F'").select("uid", "orderkey"), ["uid"], ["orderkey"])
+    return table.read()
+
+
+@query("a18_enrich_files", sql("""SELECT p.p_partkey, coalesce(m.kind, p.kind) AS kind FROM
+  (SELECT p_partkey, p_type AS kind FROM part) p LEFT JOIN
+  (SELECT l_partkey AS p_partkey, CASE WHEN max(l_quantity) >= 50 THEN 'bulk' END AS kind FROM lineitem GROUP BY 1) m
+  ON p.p_partkey=m.p_partkey"""))
+def enrich_files(spark, sf):
+    mapping = (r.table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey"))
+               .agg(F.when(F.max("l_quantity") >= 50, "bulk").alias("kind")))
+    table = ranged(spark, r.table(spark, sf, "part").select("p_partkey", F.col("p_type").alias("kind")), "p_partkey", "parts")
+    table.enrich(mapping, "kind")
+    return table.read()
+
+
+@query("a19_drop_files", ORACLES["a19_retain"])
+def drop_files(spark, sf):
+    """Files older than a week go by their ranges, nothing is read for it."""
+    events = r.table(spark, sf, "events").select("event_id", "event_type", "ts")
+    table = ranged(spark, events, "ts", "events")
+    last = events.agg(F.max("ts") - F.expr("INTERVAL 7 DAYS")).first()[0]
+    table.drop_below(last)
+    return table.read().select("event_id", "event_type")
+
+
 # -- allocation --------------------------------------------------------------------------------------
 
 def md5_unit(x: str) -> str:

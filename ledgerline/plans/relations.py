@@ -156,16 +156,19 @@ def unordered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_stream(spark, "parquet", events.schema, path, maxFilesPerTrigger=-(-files // 3))
 
 
-def replay(spark: SparkSession, sf_dir: str, run, batches: int = 3) -> None:
-    """Feed the events to a stream in `batches` batches, none of them in order of time; the query stops and starts again for each.
-
-    `run` gets the stream and starts a query that takes what is there.
+def replay(spark: SparkSession, sf_dir: str, run, batches: int = 3, in_order: bool = False) -> None:
+    """Feed the events to a stream in `batches` batches, mixed in time or one period after the other; the query stops and starts
+    again for each. `run` gets the stream and starts a query that takes what is there.
     """
     from ..streaming.views import open_stream
     path = fresh_path(spark, "replay")
     events = table(spark, sf_dir, "events")
+    part = F.pmod("event_id", F.lit(batches))
+    if in_order:
+        cuts = events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [i / batches for i in range(1, batches)], 1000)).first()[0]
+        part = sum([(F.unix_micros(F.col("ts").cast("timestamp")) >= c).cast("int") for c in cuts or []], F.lit(0))
     for i in range(batches):
-        events.filter(F.pmod("event_id", F.lit(batches)) == i).write.mode("append").parquet(path)
+        events.filter(part == i).write.mode("append").parquet(path)
         run(open_stream(spark, "parquet", events.schema, path)).awaitTermination()
 
 
