@@ -16,6 +16,9 @@ VALID_TIERS = ("s1", "s", "a", "b", "c", "f", "")
 HEADER_PREFIX = "version"
 
 ACCEPTED = "accepted"
+RECORD_REASONS = ("bad_uid", "empty_box", "bad_teams", "missing_field", "bad_star", "bad_const", "bad_level", "bad_team_size", "overlap",
+                  "missing_char")
+CSV_REASONS = ("parse_error", "missing_field", "bad_star", "bad_rate", "bad_count", "bad_tier")
 
 
 def _is_blank(c: Column) -> Column:
@@ -168,15 +171,18 @@ def reason_counts(classified: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("n")))
 
 
-def quality_counters(classified: DataFrame) -> DataFrame:
-    """Accepted records and the detail rows they unfold to, in one pass."""
+def quality_aggregates() -> dict[str, Column]:
+    """Accepted records and the detail rows that they unfold to, as aggregates of classified records."""
     ok = F.col("reason").isNull()
     members = F.aggregate("doc.teams", F.lit(0), lambda n, t: n + F.coalesce(F.size(t["members"]), F.lit(0)))
-    return classified.agg(
-        F.count("*").alias("records"),
-        F.count(F.when(ok, 1)).alias("accepted"),
-        F.coalesce(F.sum(F.when(ok, F.size(F.array_distinct("doc.characters.name")))), F.lit(0)).alias("entity_rows"),
-        F.coalesce(F.sum(F.when(ok, members)), F.lit(0)).alias("lineup_rows"))
+    return {"records": F.count("*"), "accepted": F.count(F.when(ok, 1)),
+            "entity_rows": F.coalesce(F.sum(F.when(ok, F.size(F.array_distinct("doc.characters.name")))), F.lit(0)),
+            "lineup_rows": F.coalesce(F.sum(F.when(ok, members)), F.lit(0))}
+
+
+def quality_counters(classified: DataFrame) -> DataFrame:
+    """Accepted records and the detail rows they unfold to, in one pass."""
+    return classified.agg(*[c.alias(n) for n, c in quality_aggregates().items()])
 
 
 def valid_rows(df: DataFrame, key: str, measure: str) -> DataFrame:

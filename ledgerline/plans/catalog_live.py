@@ -7,7 +7,7 @@ from ..operators import dashboards as db, maintenance as mt
 from ..operators.timeline import recent_values
 from ..session import fresh_path
 from ..sources.sinks import stage
-from ..streaming import cycle as cy, keyed as ky, panelog as pl, runner as rn, views as vw
+from ..streaming import cycle as cy, keyed as ky, landing as ld, panelog as pl, runner as rn, views as vw
 from . import relations as r
 from .registry import ORACLES, query
 from .relations import pct, rnd, sql
@@ -332,6 +332,21 @@ def parse_messages(spark, sf):
     return rn.drain(spark, parsed.groupBy("role").agg(F.count("*").alias("n"), F.sum("id").alias("ids")), "parsed")
 
 
+@query("j1_parsed_rows", "SELECT event_type AS role, event_id AS id FROM events WHERE event_id % 40 <> 3")
+def parsed_rows(spark, sf):
+    """Every message that could be read."""
+    base = fresh_path(spark, "parsed")
+    text = F.to_json(F.struct(F.col("event_type").alias("role"), F.col("event_id").alias("id")))
+
+    def run(events):
+        lines = events.select(F.when(F.col("event_id") % 40 == 3, F.concat(F.lit("{"), text)).otherwise(text).alias("value"))
+        parsed = vw.parse_messages(lines, "role string, id bigint")
+        return rn.start(parsed, lambda df, i: rn.publish(df, i, f"{base}/out"), f"{base}/checkpoint", "append")
+
+    r.replay(spark, sf, run)
+    return spark.read.parquet(f"{base}/out").select("role", "id")
+
+
 @query("b5_polymorphic_messages", sql("""SELECT id, CASE WHEN id%4=3 THEN '?' ELSE weapon END AS weapon,
     CASE WHEN id%4=3 THEN '?' ELSE artifact END AS artifact, damage FROM builds""", "builds"))
 def polymorphic(spark, sf):
@@ -358,3 +373,12 @@ def landing(spark, sf):
     text = [F.lpad(F.col(c).cast("string"), w, "0").alias(c) for c, w in (("yyyy", 4), ("mm", 2), ("dd", 2))]
     return (spark.read.parquet(f"{base}/out").select("topic", *text, "event_id")
             .groupBy("topic", "yyyy", "mm", "dd").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids")))
+
+
+@query("a12_landed_rows", """SELECT event_type AS topic, strftime(ts, '%Y') AS yyyy, strftime(ts, '%m') AS mm, strftime(ts, '%d') AS dd, event_id FROM events""")
+def landed_rows(spark, sf):
+    """Every event in its folder, after batches and a join of small files."""
+    base = fresh_path(spark, "landed")
+    landing = ld.Landing(spark, f"{base}/out", "event_type", "ts", target=1 << 16)
+    r.replay(spark, sf, lambda events: landing.start(events, f"{base}/checkpoint", None, compact_every=2))
+    return landing.read().select("topic", "yyyy", "mm", "dd", "event_id")

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from ..functions import argmax_struct, normalize_label, shorten_label
 from ..operators import dashboards as db, draws as dr, quality as q
 from ..session import fresh_path
-from ..sources import readers as rd, sinks as sk
+from ..sources import counted as ct, readers as rd, sinks as sk
 from ..sources.sinks import stage
 from . import relations as r
-from .registry import query
+from .registry import ORACLES, query
 from .relations import pct, rnd, sql
 
 
@@ -80,6 +80,45 @@ def route(spark, sf):
             .agg(F.count("*").alias("n"), F.sum("uid").alias("uids")))
 
 
+@query("a9_routed_rows", sql("SELECT coalesce(reason, 'accepted') AS reason, period, uid FROM records", "records"))
+def routed_rows(spark, sf):
+    """Every record as it was filed."""
+    path = fresh_path(spark, "routed")
+    sk.route(records(spark, sf).select("uid", "period", "value", "reason"), "reason", path)
+    return spark.read.parquet(path).select(F.col("reason").cast("string").alias("reason"), "period", "uid")
+
+
+@query("b18_observed_counts", ORACLES["b18_reason_counts"])
+def observed_counts(spark, sf):
+    """The counters of the one write that files the records."""
+    rows = records(spark, sf).select("uid", "period", "value", "reason")
+    return ct.counters_frame(spark, ct.route_counted(rows, "reason", fresh_path(spark, "routed"), q.RECORD_REASONS))
+
+
+@query("b18_stream_counters", sql(f"""{OK_DETAIL} SELECT coalesce(reason, 'accepted') AS counter, count(*) AS n FROM records GROUP BY 1
+  UNION ALL SELECT 'total', count(*) FROM records UNION ALL SELECT 'entity_rows', count(*) FROM ok
+  UNION ALL SELECT 'lineup_rows', sum(h1+h2)::BIGINT FROM detail d JOIN records r ON d.period=r.period AND d.uid=r.uid AND r.reason IS NULL""",
+                                  "records", "dropped_first"))
+def stream_counters(spark, sf):
+    """Record lines cleaned as a stream of three batches; counters come from the writes and add up over the batches."""
+    base = fresh_path(spark, "cleaned")
+    lines = r.record_lines(spark, sf)
+    lines.repartition(6).write.parquet(f"{base}/lines")
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/lines")
+    log = ct.counters_log(spark, f"{base}/log")
+    more = {k: v for k, v in q.quality_aggregates().items() if k.endswith("_rows")}
+    ct.route_stream(stream, q.classify_records, f"{base}/out", log, f"{base}/checkpoint", q.RECORD_REASONS, ["period", "uid", "doc"],
+                    more=more).awaitTermination()
+    return (log.read("counters").groupBy("counter").agg(F.sum("n").alias("n")).filter("n > 0"))
+
+
+@query("b10_csv_rows", sql("SELECT coalesce(reason, 'accepted') AS reason, CASE WHEN f <> 0 THEN orderkey||':'||f END AS row FROM csv_rows", "csv_rows"))
+def csv_rows(spark, sf):
+    """The reason of every line, by the name in its last field."""
+    named = q.classify_csv(r.csv_lines(spark, sf, keyed=True))
+    return named.select(F.coalesce("reason", F.lit(q.ACCEPTED)).alias("reason"), F.get(F.split("line", ","), 8).alias("row"))
+
+
 @query("b10_csv_quality", sql("SELECT coalesce(reason, 'accepted') AS reason, count(*) AS n FROM csv_rows GROUP BY 1", "csv_rows"))
 def csv_quality(spark, sf):
     return q.reason_counts(q.classify_csv(r.csv_lines(spark, sf)))
@@ -170,8 +209,9 @@ def append_overwrite(spark, sf):
   UNION ALL SELECT period, entity, use_rate FROM usage_o""", "usage", "usage_o"))
 def write_partitions(spark, sf):
     path = fresh_path(spark, "partitions")
-    for status in (None, "O", "O"):  # the last rerun must not double anything
-        sk.write_partitions(r.usage(spark, sf, status).select("period", "entity", "use_rate"), path, ["period"])
+    new = r.usage(spark, sf, "O")
+    for rows in (r.usage(spark, sf), new, new):  # the last rerun must not double anything
+        sk.write_partitions(rows.select("period", "entity", "use_rate"), path, ["period"])
     schema = "entity string, use_rate double, period string"
     return spark.read.schema(schema).parquet(path).select("period", "entity", "use_rate")
 
@@ -206,6 +246,19 @@ def jsonl_lines(spark, sf):
     return rows.groupBy("is_bad").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
 
+@query("a6_jsonl_rows", """SELECT event_id, event_id % 50 = 7 AS is_bad, CASE WHEN event_id % 50 <> 7 THEN event_type END AS event_type,
+    CASE WHEN event_id % 50 <> 7 THEN value END AS value FROM events""")
+def jsonl_rows(spark, sf):
+    """Every line with its values; bad ones keep their text, in which their number still stands."""
+    path = fresh_path(spark, "jsonl")
+    whole = F.to_json(F.struct("event_id", "event_type", "value"))
+    (r.table(spark, sf, "events").select("event_id", whole.alias("j"))
+     .select(F.when(F.col("event_id") % 50 == 7, F.expr("substring(j, 1, length(j) - 3)")).otherwise(F.col("j")).alias("value")).write.text(path))
+    rows = rd.scan_jsonl(spark, path, "event_id bigint, event_type string, value double")
+    number = F.coalesce("event_id", F.regexp_extract("raw", '"event_id":(\\d+)', 1).cast("bigint"))
+    return rows.select(number.alias("event_id"), "is_bad", "event_type", "value")
+
+
 @query("a7_pair_documents", """SELECT o_custkey::VARCHAR AS uid, '2001' AS version, count(*) AS owned,
     count(CASE WHEN o_orderstatus='F' THEN 1 END) > 0 AS has_record,
     CASE WHEN count(CASE WHEN o_orderstatus='F' THEN 1 END) > 0 THEN max(CASE WHEN o_orderstatus='F' THEN o_orderkey END) END AS last_key
@@ -236,6 +289,16 @@ def messages(spark, sf):
                                   F.sum(F.get_json_object("value", "$.event_id").cast("bigint")).alias("ids"))
 
 
+@query("a11_message_rows", "SELECT event_type AS key, event_id, value FROM events")
+def message_rows(spark, sf):
+    """Every message as it was published."""
+    made = sk.to_messages(r.table(spark, sf, "events").select("event_id", "event_type", "value"), "event_type")
+    path = fresh_path(spark, "messages")
+    sk.publish_messages(made, "json", path=path)
+    return spark.read.schema(made.schema).json(path).select(
+        "key", F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"), F.get_json_object("value", "$.value").cast("double").alias("value"))
+
+
 def history(spark, sf):
     """Nested history documents, one per year, parsed with the history schema."""
     from pyspark.sql import Window

@@ -244,8 +244,8 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(spark, grouped.select("period", "uid", value.alias("value")), "records")
 
 
-def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat usage lines with faults by row."""
+def csv_lines(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
+    """Flat usage lines with faults by row; if asked for, whole ones have a last field that names the row."""
     key = F.col("orderkey") + F.col("linenumber")
     f = key % 17
     fields = [
@@ -258,7 +258,7 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(f == 9, "zz").when(f == 13, "").otherwise("s1")]
     value = (F.when(f == 0, F.concat_ws(",", *fields[:6])).when(f == 10, "")
              .when(f == 11, "version,name,star,use,own,use_rate,own_rate,tier")
-             .otherwise(F.concat_ws(",", *fields)))
+             .otherwise(F.concat_ws(",", *fields, *([F.concat("orderkey", F.lit(":"), f)] if keyed else []))))
     return stage(spark, lines(spark, sf_dir).select(value.alias("value")), "csv-lines")
 
 
