@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import argmax_struct, normalize_label, shorten_label
 from ..operators import dashboards as db, draws as dr, quality as q
 from ..session import fresh_path
-from ..sources import counted as ct, readers as rd, sinks as sk
+from ..sources import counted as ct, large_json as lj, readers as rd, sinks as sk
 from ..sources.sinks import stage
 from . import relations as r
 from .registry import ORACLES, query
@@ -234,6 +234,15 @@ def scan_documents(spark, sf):
     return rd.scan_documents(spark, path + "/*/*.txt", title)
 
 
+@query("a5_large_documents", ORACLES["a5_scan_documents"])
+def large_documents(spark, sf):
+    """The same documents read in splits of 2,000 bytes, none of them by one task."""
+    path = fresh_path(spark, "documents")
+    usage_documents(r.usage(spark, sf)).write.partitionBy("period").text(path)
+    title = normalize_label(F.coalesce(F.try_variant_get("doc", "$.title", "string"), F.lit("")), ["usage statistics"])
+    return lj.scan_large_documents(spark, path + "/*/*.txt", title, split_bytes=2000)
+
+
 @query("a6_jsonl_lines", """SELECT event_id % 50 = 7 AS is_bad, count(*) AS n, sum(CASE WHEN event_id%50<>7 THEN event_id END)::BIGINT AS ids
   FROM events GROUP BY 1""")
 def jsonl_lines(spark, sf):

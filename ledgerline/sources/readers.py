@@ -54,7 +54,7 @@ def split_text(lines: DataFrame, n_min: int, names: Sequence[str], sep: str = ",
 
 def scan_text_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole files: file name and body."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_name").alias("file"), F.col("value").alias("body"))
 
 
