@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from . import (ann, automaton_dedup, bpe, conversations, embed_dedup, langid, merkle, mixing, pieces, secrets, simhash,
+from . import (ann, automaton_dedup, bpe, conversations, embed_dedup, langid, merkle, mixing, oracles, pieces, secrets, simhash,
                suffix_dedup, warc)
 from ..sources.sinks import stage
 from .common import read
@@ -104,12 +104,12 @@ def merkle_rows(docs: DataFrame, height: int = merkle.HEIGHT) -> DataFrame:
             .select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"))
 
 
-@query("op12_octopus_multiproof")
+@query("op12_octopus_multiproof", sql=oracles.MERKLE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_rows(read(spark, sf_dir, "documents"))
 
 
-@query("op13_deepening_repair")
+@query("op13_deepening_repair", sql=oracles.REPAIR)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations")
     return conversations.with_empty(conversations.report(conversations.repair(conversations.damage(rows))), rows)
