@@ -5,8 +5,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import exact_avg, exact_sum, percent, round_half_up
 
-# Parts into which the values of a group are cut for ranking.
-RANK_CUTS = 64
+# Most parts into which the values of a group are cut for ranking, and how many values a part should have.
+RANK_CUTS, CUT_VALUES = 1024, 100_000
+# A value is hot if it has more rows than this and more than a 100,000th of all rows; its rows are dealt over so many tasks.
+HOT_ROWS, HOT_TASKS = 10_000, 64
 
 
 def period_order(df: DataFrame, order: DataFrame | None = None, descending: bool = False) -> DataFrame:
@@ -38,13 +40,17 @@ def latest_rows(df: DataFrame) -> DataFrame:
 def rank_within(df: DataFrame, by: str, measure: str, name: str) -> DataFrame:
     """Rank with shared ties and gaps, highest first and nulls last; no row is lost.
 
-    Ranks are counted on the distinct measure values of each group. The values are cut at approximate quantiles of
-    the group: a window over the few cuts counts the rows of higher cuts, and values are sorted inside one cut
-    only. The rank is exact wherever the cuts lie, and a measure without repeats is not sorted in one task.
+    Ranks are counted on the distinct measure values of each group. The values of a large group are cut at approximate
+    quantiles: a window over the few cuts counts the rows of higher cuts, and values are sorted inside one cut only. The
+    rank is exact wherever the cuts lie, and a measure without repeats is not sorted in one task. Ranks come back to the rows
+    by a join in which the rows of a hot value are dealt over many tasks; there are fewer than 100,000 hot values, and
+    only these are broadcast.
     """
     sizes = df.groupBy(F.col(by).alias("_by"), F.col(measure).alias("_measure")).agg(F.count("*").alias("_n"))
-    quantiles = F.percentile_approx("_measure", [i / RANK_CUTS for i in range(1, RANK_CUTS)], F.lit(100 * RANK_CUTS))
-    edges = sizes.groupBy(F.col("_by").alias("_of")).agg(quantiles.alias("_edges"))
+    quantiles = F.percentile_approx("_measure", [i / RANK_CUTS for i in range(1, RANK_CUTS)], F.lit(20 * RANK_CUTS))
+    step = F.floor(RANK_CUTS / F.least(F.ceil(F.col("_values") / CUT_VALUES), F.lit(RANK_CUTS)))
+    edges = (sizes.groupBy(F.col("_by").alias("_of")).agg(quantiles.alias("_all"), F.count("*").alias("_values"))
+             .select("_of", F.filter("_all", lambda e, i: (i + 1) % step == 0).alias("_edges")))
     # Cut 0 holds the highest values, the last one the nulls.
     cut = F.when(F.col("_measure").isNull(), RANK_CUTS).otherwise(
         F.size(F.filter("_edges", lambda e: e > F.col("_measure"))))
@@ -55,11 +61,19 @@ def rank_within(df: DataFrame, by: str, measure: str, name: str) -> DataFrame:
             .withColumn("_higher", F.coalesce(F.sum("_rows").over(higher), F.lit(0))).drop("_rows"))
     above = (Window.partitionBy("_by", "_cut").orderBy(F.col("_measure").desc_nulls_last())
              .rowsBetween(Window.unboundedPreceding, -1))
+    limit = F.greatest(F.lit(HOT_ROWS), sizes.agg(F.sum("_n")).scalar() / 100_000)
+    tasks = F.when(F.col("_n") > limit, F.sequence(F.lit(0), F.lit(HOT_TASKS - 1))).otherwise(F.array(F.lit(0)))
     ranks = (placed.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
              .join(cuts, F.col("_by").eqNullSafe(F.col("_in")) & (F.col("_cut") == F.col("_at")))
-             .select("_by", "_measure", (F.col("_higher") + F.col("_above") + 1).alias(name)))
-    return (df.join(ranks, F.col(by).eqNullSafe(F.col("_by")) & F.col(measure).eqNullSafe(F.col("_measure")))
-            .drop("_by", "_measure"))
+             .select("_by", "_measure", (F.col("_higher") + F.col("_above") + 1).alias(name), F.explode(tasks).alias("_task")))
+    hot = F.broadcast(sizes.filter(F.col("_n") > limit).select(F.col("_by").alias("_hot_by"), F.col("_measure").alias("_hot_measure"),
+                                                               F.lit(True).alias("_hot")))
+    own = F.col(by), F.col(measure)
+    dealt = (df.join(hot, own[0].eqNullSafe(F.col("_hot_by")) & own[1].eqNullSafe(F.col("_hot_measure")), "left")
+             .withColumn("_deal", F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(HOT_TASKS))).otherwise(0).cast("int"))
+             .drop("_hot", "_hot_by", "_hot_measure"))
+    return (dealt.join(ranks, own[0].eqNullSafe(F.col("_by")) & own[1].eqNullSafe(F.col("_measure")) & (F.col("_deal") == F.col("_task")))
+            .drop("_by", "_measure", "_task", "_deal"))
 
 
 def rate_changes(timeline: DataFrame) -> DataFrame:

@@ -295,6 +295,11 @@ def snapshot(spark, sf):
   SELECT entity, avg_constellation, avg_damage, strftime(make_timestamp(ws*1000000), '%Y-%m-%d %H:%M:%S') AS snapshot_time
   FROM h QUALIFY row_number() OVER (PARTITION BY entity ORDER BY ws DESC) = 1""", "hot_rows"))
 def snapshot_upsert(spark, sf):
+    return (merged_snapshot(spark, sf).withColumn("snapshot_time", at("snapshot_time"))
+            .select("entity", "avg_constellation", "avg_damage", "snapshot_time"))
+
+
+def merged_snapshot(spark, sf):
     """The snapshot of the last window merged by entity into the one before it."""
     counted = stage(spark, vw.pane_counts(r.builds(spark, sf), f"{QUARTER} seconds"), "panes")
     last = counted.agg(F.max("pane")).scalar()
@@ -307,9 +312,27 @@ def snapshot_upsert(spark, sf):
         return vw.snapshot_rows(*[d.filter(F.col("window_start") == start) for d in (hot, weapons, artifacts)], start)
 
     new = rows(last)
-    merged = mt.upsert(rows(before), new, ["entity"], [x for x in new.columns if x != "entity"])
-    return (merged.withColumn("snapshot_time", at("snapshot_time"))
-            .select("entity", "avg_constellation", "avg_damage", "snapshot_time"))
+    return mt.upsert(rows(before), new, ["entity"], [x for x in new.columns if x != "entity"])
+
+
+def _first_names(cat, where=""):
+    return f"""(SELECT ws, entity, '["'||string_agg({cat}, '","' ORDER BY pos)||'"]' AS names FROM (SELECT h.ws, entity, {cat},
+      row_number() OVER (PARTITION BY h.ws, entity ORDER BY count(*) DESC, {cat}) AS pos FROM hot_rows h, l WHERE h.ws >= l.ws - 900 {where}
+      GROUP BY 1, 2, 3) WHERE pos <= 3 GROUP BY 1, 2)"""
+
+
+@query("j11_snapshot_merged", sql(f""", l AS (SELECT max(ws) AS ws FROM hot_rows),
+  h AS (SELECT h.ws, entity, {rnd('sum(constellation)::DOUBLE/count(*)', 1)} AS avg_constellation,
+      floor(sum(damage)/count(*))::BIGINT AS avg_damage, '{{{{'||{DIST}||'}}}}' AS const_dist FROM hot_rows h, l WHERE h.ws >= l.ws - 900 GROUP BY 1, 2
+    QUALIFY row_number() OVER (PARTITION BY h.ws ORDER BY count(*) DESC, entity) <= 4)
+  SELECT h.entity, strftime(make_timestamp(h.ws*1000000), '%Y-%m-%d %H:%M:%S') AS snapshot_time, avg_constellation, avg_damage, const_dist,
+    coalesce(m.names, '[]') AS weapons, coalesce(a.names, '[]') AS artifacts
+  FROM h LEFT JOIN {_first_names('weapon', "AND weapon <> '?'")} m ON m.ws=h.ws AND m.entity=h.entity
+    LEFT JOIN {_first_names('artifact')} a ON a.ws=h.ws AND a.entity=h.entity
+  QUALIFY row_number() OVER (PARTITION BY h.entity ORDER BY h.ws DESC) = 1""".replace("{{", "{").replace("}}", "}"), "hot_rows"))
+def snapshot_merged(spark, sf):
+    """All columns of the merged snapshot."""
+    return merged_snapshot(spark, sf).withColumn("snapshot_time", at("snapshot_time"))
 
 
 @query("j11_draw_snapshot", sql("""SELECT 0 AS pos, '__ALL__' AS entity, count(*) AS draws FROM draws

@@ -346,3 +346,16 @@ def test_ranks_of_a_continuous_measure_are_exact(spark):
     groups = {**{g: v for g, v in rates.items()}, None: [1.5, 2.5]}
     want = {(g, v): 1 + sum(x > v for x in values) for g, values in groups.items() for v in values}
     assert got == {**want, ("b", None): 6}
+
+
+def test_ranks_of_hot_values_and_many_cuts(spark, monkeypatch):
+    """Two thirds of the rows have one value; cuts and tasks change nothing."""
+    import random
+    rnd = random.Random(1)
+    rows = [(rnd.choice("ab"), 1.5 if rnd.random() < 0.66 else rnd.choice([None, rnd.randint(0, 40) / 4]), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double, i int")
+    monkeypatch.setattr(tl, "HOT_ROWS", 100)
+    monkeypatch.setattr(tl, "CUT_VALUES", 7)
+    got = {r.i: r.k for r in tl.rank_within(df, "g", "v", "k").collect()}
+    groups = {g: [v for x, v, _ in rows if x == g] for g in "ab"}
+    assert got == {i: 1 + sum(x is not None and (v is None or x > v) for x in groups[g]) for g, v, i in rows}
