@@ -16,6 +16,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 
 from .blocks import MAIL, Blocks, bits, documents, flags, in_buckets, letters, mail, pack, unpack
@@ -133,6 +134,17 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def _counted(values: np.ndarray, times: np.ndarray) -> bytes:
+    """Rising values and how often each occurs."""
+    packed = pack(values)
+    return np.uint32(len(packed)).tobytes() + packed + zstandard.ZstdCompressor(level=1).compress(np.minimum(times, 0xFFFF).astype("<u2").tobytes())
+
+
+def _counts(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = 4 + int(np.frombuffer(blob[:4], dtype=np.uint32)[0])
+    return unpack(blob[4:n]), np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[n:]), dtype="<u2")
+
+
 def digests(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """A hash of each run of words."""
     if not len(starts):
@@ -144,33 +156,32 @@ def digests(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
 
 
 def earlier_windows(keys: np.ndarray, lengths: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Per segment, in the order of the corpus, a bit mask of the windows that occur in a segment before it."""
+    """Per segment, in the order of the corpus, a bit mask of the windows that occur in a segment before it.
+
+    A segment is streamed over the automaton of those before it with its anchor; one that is in it as a whole is not added again.
+    """
     starts = np.cumsum(lengths) - lengths
     masks = np.zeros(len(keys), dtype=np.uint16)
-    whole = digests(words, starts, lengths)
-    order = np.lexsort((np.arange(len(keys)), whole, lengths, keys))
-    again = np.append(False, (keys[order][1:] == keys[order][:-1]) & (lengths[order][1:] == lengths[order][:-1])
-                      & (whole[order][1:] == whole[order][:-1])) if len(keys) else np.zeros(0, dtype=bool)
-    masks[order[again]] = (1 << (lengths[order[again]] - WINDOW + 1)) - 1
-    left = np.sort(order[~again])
-    left = left[np.argsort(keys[left], kind="stable")]
-    cuts = np.append(np.flatnonzero(np.append(True, keys[left][1:] != keys[left][:-1])), len(left)) if len(left) else []
+    order = np.argsort(keys, kind="stable")
+    cuts = np.append(np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1])), len(order)) if len(order) else []
     for a, b in zip(cuts[:-1], cuts[1:]):
         if b - a < 2:
             continue
         automaton = SuffixAutomaton()
         for k in range(a, b):
-            i = left[k]
+            i = order[k]
             segment = words[starts[i]:starts[i] + lengths[i]].tolist()
             if k > a:
                 found = automaton.statistics(segment)
                 masks[i] = sum(1 << j for j, m in enumerate(found[WINDOW - 1:]) if m >= WINDOW)
+                if found[-1] == len(segment):
+                    continue
             if k < b - 1:
                 automaton.add(segment)
     return masks
 
 
-def remove_repeats(docs: DataFrame, block_bytes: int = 4_000_000, per_bucket: int = 6_000_000, hot: int = 1024,
+def remove_repeats(docs: DataFrame, block_bytes: int = 4_000_000, per_bucket: int = 6_000_000, hot: int = 2048,
                    id_col: str = "doc_id", text_col: str = "text", content: bool = False) -> DataFrame:
     """`doc_id`, `n_words`, `n_removed`, `kept_sha256` and, if asked for, `kept` (text).
 
@@ -180,25 +191,26 @@ def remove_repeats(docs: DataFrame, block_bytes: int = 4_000_000, per_bucket: in
     Rows that share an id are taken one after the other, in the order of their texts. Words are compared by 64-bit hashes,
     so a window by 1280 bits.
 
-    An anchor found in more than `hot` blocks would bring many segments to one shard: those are split into their
-    windows, which go to shards by themselves, so that no shard sees more than one segment per block and window.
+    An anchor with more than `hot` segments would bring them all to one shard: those are split into their windows, which go
+    to shards by themselves, each once per block; equal windows are one path of an automaton, so that it stays small.
     """
     blocks = Blocks(docs, block_bytes, per_bucket, id_col, text_col)
     spread = blocks.bucket_bits
 
     def send_anchors(key: tuple, own: pa.Table) -> pa.Table:
         words = Words(*documents(own))
-        values = np.unique(words.key)
-        return mail([(b, ANCHORS, key[0].as_py(), pack(values[s])) for b, s in in_buckets(values, spread)])
+        values, times = np.unique(words.key, return_counts=True)
+        return mail([(b, ANCHORS, key[0].as_py(), _counted(values[s], times[s])) for b, s in in_buckets(values, spread)])
 
     def count_anchors(table: pa.Table) -> pa.Table:
         tos, places, blobs = (table.column(c).to_pylist() for c in ("to", "place", "blob"))
-        parts = [unpack(b) for b in blobs]
+        parts, counts = zip(*map(_counts, blobs))
         _, index, times = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        segments = np.bincount(index, np.concatenate(counts))
         ends, rows = np.cumsum([len(p) for p in parts]), []
         for to, place, a, b in zip(tos, places, np.append(0, ends[:-1]), ends):
-            n = times[index[a:b]]
-            rows.append((place, ANSWER, to, bits(np.concatenate([n > 1, n > hot]))))
+            own = index[a:b]
+            rows.append((place, ANSWER, to, bits(np.concatenate([times[own] > 1, segments[own] > hot]))))
         return mail(rows)
 
     def chosen(shared: np.ndarray, large: np.ndarray, words: Words) -> dict[str, np.ndarray]:
