@@ -302,7 +302,8 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, ids: bo
     """`doc_id`, `n_tokens`, `ids_sha256`, `decoded_sha256` and, if asked for, `ids`.
 
     Every match of `pattern` is encoded by itself, no special tokens; the ids are decoded again for the last
-    digest. Null texts are empty. One row per input row. The rank table goes to the executors as a broadcast (the
+    digest. Null texts are empty. One row per input row, also for repeated rows and ids; other columns are not looked at. A pre-token of any
+    length goes through one queue, so a very long text costs its length. An empty table gives an empty table. The rank table goes to the executors as a broadcast (the
     size of a vocabulary, whatever the data).
     """
     shared = docs.sparkSession.sparkContext.broadcast(ranks)

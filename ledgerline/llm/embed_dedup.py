@@ -97,7 +97,7 @@ def near_copies(vectors: DataFrame, least: float = 0.95, window: int = 128, bloc
     links are counted without being listed. Vectors that are null, zero or hold null or non-finite components, and
     rows without an id, link with nothing. A component is named by its smallest id. Rows of one id that have equal
     vectors are counted as several vectors; an id that comes with different vectors joins their components, and each
-    row has the links of its own vector.
+    row has the links of its own vector. An empty table gives an empty table; other columns are not looked at.
 
     The number of passes follows the number of rows at first. All links of `probes` rows are then looked up by brute force;
     while less than `aim` of them, or of those of a mean row, lie within one component, passes are added. (Even an order by

@@ -257,7 +257,8 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, most: int = 4,
     Documents whose fingerprints differ in at most `most` (up to 4) bits are linked, equal ones included;
     a component is named by its smallest id. Documents with equal fingerprints are one node, so copies cost
     no links. Null and empty texts share the fingerprint zero; a row without an id belongs to no component
-    (null) and is not kept; repeated ids share a row's fate if their fingerprints do.
+    (null) and is not kept; repeated ids share a row's fate if their fingerprints do. A very long text costs its length. An
+    empty table gives an empty table; other columns are not looked at.
     """
     prints = cut(fingerprints(docs, shingle, id_col=id_col, text_col=text_col).select("doc_id", F.col("prints")[0].alias("p")))
     nodes = cut(prints.where("doc_id is not null").groupBy("p").agg(F.min("doc_id").alias("node")))

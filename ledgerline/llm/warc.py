@@ -181,7 +181,8 @@ def mark_revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
 
     Of equal payloads of at least `least` bytes the one with the largest page_id is the response. Rows that
     repeat that page_id with the same payload are responses too. Rows without a page_id are responses.
-    Null html is an empty payload. The largest ids are found by an aggregate that combines before its shuffle;
+    Null html is an empty payload; a very long one is one value of a task, and its record one frame. An empty table gives an
+    empty table; other columns are not looked at. The largest ids are found by an aggregate that combines before its shuffle;
     only digests that occur more than once are joined back.
     """
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")

@@ -60,6 +60,16 @@ def test_simhash_groups(spark, docs):
     assert simhash.simhash_groups(frame(spark, [])).collect() == []
 
 
+def test_fingerprints_of_long_texts_repeated_ids_and_clashes(spark):
+    from pyspark.sql import functions as F
+    rnd = random.Random(12)
+    long = " ".join(rnd.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(60_000))
+    rows = [(1, long), (2, long), (3, "one two three four five"), (3, "six seven eight nine ten"), (4, "six seven eight nine ten")]
+    wide = frame(spark, rows).withColumns({"p": F.lit(1), "node": F.lit("n"), "component_id": F.lit(9), "mark": F.lit(0)})
+    got = sorted((r.doc_id, r.fingerprint, r.component_id) for r in simhash.simhash_groups(wide).collect())
+    assert got == sorted((d, format(fingerprint(t), "016x"), 1 if d < 3 else 3) for d, t in rows)
+
+
 def test_golay_keys_cover_four_bits():
     rnd = random.Random(1)
     for _ in range(300):
@@ -300,6 +310,19 @@ def test_tokens(spark, docs):
     assert back == {d: t or "" for d, t in rows}
 
 
+def test_tokens_of_one_long_pre_token(spark):
+    """Pre-tokens far above what the library's own loop takes quadratic time for, an empty table and extra columns."""
+    from pyspark.sql import functions as F
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    theirs = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rnd = random.Random(3)
+    texts = ["a" * 8_000, "".join(rnd.choice("abcdefghij") for _ in range(12_000)), "日" * 7_000, "xyz" * 4_000]
+    wide = frame(spark, list(enumerate(texts)) * 2).withColumns({"ids": F.lit("x"), "n_tokens": F.lit(None), "block": F.lit(1)})
+    got = bpe.encode_texts(wide, ranks, public_tokenizers.PATTERN).collect()
+    assert len(got) == 8 and all(r.ids == theirs.encode_ordinary(texts[r.doc_id]) for r in got)
+    assert bpe.encode_texts(wide.limit(0), ranks, public_tokenizers.PATTERN).collect() == []
+
+
 def test_one_merge_at_a_time():
     """A table whose later merges allow an earlier one, against the merges one by one."""
     ranks = {bytes([b]): b for b in range(256)} | {b"bc": 300, b"abc": 280, b"aa": 290, b"ca": 285, b"bcab": 270}
@@ -348,3 +371,40 @@ def test_mixing(spark, docs):
     assert sampled.columns == docs.columns and sampled.count() == sum(r.sampled for r in got)
     odd = spark.createDataFrame([(1, None, None, None), (None, "a b", "en", None), (1, "", "en", "s")], "doc_id long, text string, lang string, source string")
     assert mixing.mix_sources(odd).count() == 3 and mixing.mix_sources(odd.limit(0)).count() == 0
+
+
+def test_mixing_against_probabilities_by_hand(spark, docs):
+    """Raking to tempered shares and the calibrated probabilities of every document, worked out in one place."""
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()] + [(9000, None, None, None), (9001, "", "en", None), (9002, "word " * 50_000, "en", None)]
+    got = {r.doc_id: r for r in mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    cells, of = {}, {}
+    for d, t, lang, source in rows:
+        t = t or ""
+        topic = "table" if "|" in t else "contact" if "http" in t or "@" in t else "note" if len(t) < 1000 else "prose"
+        of[d] = (source or "unknown", lang or "unknown", topic)
+        cells[of[d]] = cells.get(of[d], 0) + len(t.strip(" \t\n\r\f\x0b").split())
+    targets = []
+    for dim in range(3):
+        shares = {}
+        for k, n in cells.items():
+            shares[k[dim]] = shares.get(k[dim], 0) + n
+        powered = {v: n ** 0.7 for v, n in shares.items() if n}
+        targets.append({v: n / sum(powered.values()) for v, n in powered.items()})
+    weights = {k: float(n) for k, n in cells.items()}
+    for _ in range(300):
+        for dim in range(3):
+            sums = {}
+            for k, w in weights.items():
+                sums[k[dim]] = sums.get(k[dim], 0) + w
+            weights = {k: w * targets[dim][k[dim]] / sums[k[dim]] if sums[k[dim]] else 0.0 for k, w in weights.items()}
+    total = sum(cells.values())
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        factor = (low + high) / 2
+        kept = sum(n * min(1.0, weights[k] / n * factor) for k, n in cells.items() if n)
+        low, high = (factor, high) if kept < total / 2 else (low, factor)
+    for d, k in of.items():
+        want = min(1.0, weights[k] / cells[k] * high) if cells[k] else 0.0
+        assert got[d].probability == pytest.approx(want, rel=0.02, abs=1e-9)
+        assert (got[d].source, got[d].lang, got[d].topic) == k
+    assert all(r.sampled for r in got.values() if r.probability >= 1) and not any(r.sampled for r in got.values() if r.probability <= 0)

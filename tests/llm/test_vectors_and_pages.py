@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from conftest import SF_DIR
-from ledgerline.llm import ann, catalog, embed_dedup, warc
+from ledgerline.llm import ann, catalog, embed_dedup, secrets, simhash, warc
 from oracle import compare, connect
 
 
@@ -137,11 +137,34 @@ def test_query_equals_sql(spark, name):
         oracle.UNWANTED = unwanted
 
 
+def test_pages_with_other_columns(spark):
+    from pyspark.sql import functions as F
+    wide = spark.createDataFrame(page_rows(), "page_id long, url string, html string").withColumns(
+        {"payload": F.lit(1), "digest": F.lit("x"), "owner": F.lit(2), "n": F.lit(3), "same": F.lit("s"), "refers_to": F.lit("r")})
+    plain = wide.select("page_id", "url", "html")
+
+    def content(df):
+        return sorted(((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_archives(
+            warc.write_archives(warc.mark_revisits(df))).collect()), key=str)
+    assert content(wide) == content(plain) and content(wide.limit(0)) == []
+
+
 def test_pipeline(spark):
+    """The whole run gives what its stages give one after the other, and each stage's decision shows in its result."""
     import corpus_pipeline
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, SF_DIR).columns == docs.columns, name
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").cache()
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_dedup", "secret_scan", "mix_sources", "byte_bpe"]
+    steps, now = {}, docs
+    for name, stage in corpus_pipeline.STAGES:
+        now = stage(spark, now, SF_DIR).cache()
+        assert name == "byte_bpe" or now.columns == docs.columns, name
+        steps[name] = now
+    ids = {name: {r[0] for r in df.select("doc_id").collect()} for name, df in steps.items()}
+    assert ids["byte_bpe"] == ids["mix_sources"] <= ids["secret_scan"] == ids["simhash_dedup"] <= ids["language_id"]
+    assert ids["simhash_dedup"] == {r.component_id for r in simhash.simhash_groups(steps["language_id"]).collect()}
+    hit = {r.doc_id for r in secrets.scan_secrets(steps["simhash_dedup"]).collect() if r.spans}
+    assert {r.doc_id for r in steps["secret_scan"].where("text LIKE '%[SECRET]%'").collect()} == hit
     out = corpus_pipeline.run(spark, SF_DIR)
-    ids = [r.doc_id for r in out.select("doc_id").collect()]
-    assert ids and len(set(ids)) == len(ids)
+    assert sorted(map(tuple, out.drop("ids").collect())) == sorted(map(tuple, steps["byte_bpe"].drop("ids").collect()))
+    for df in (docs, *steps.values()):
+        df.unpersist()
