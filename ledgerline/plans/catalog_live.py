@@ -24,7 +24,7 @@ def pane_log(spark, sf, of, partial, merge, pane, label):
     """Panes of a stream of several unordered batches; rows more than a day late are corrections."""
     base = fresh_path(spark, label)
     log = pl.PaneLog(spark, f"{base}/log", merge, 86400, pane, parts=2)
-    r.replay(spark, sf, lambda events: pl.count_panes(of(events), partial, log, f"{base}/checkpoint"))
+    pl.count_panes(of(r.unordered_stream(spark, sf)), partial, log, f"{base}/checkpoint").awaitTermination()
     return log
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.files import delete, read_text, swap_text
@@ -45,16 +45,10 @@ class PaneLog:
         at = self._seconds()
         late = F.lit(False) if mark is None else at < mark
         folder = f"batch-{batch}"
-        (rows.withColumns({"_at": at, "_late": late}).coalesce(self.files).write.mode("overwrite").partitionBy("_late")
-         .parquet(f"{self.path}/{folder}"))
-        schema = T.StructType(rows.schema.fields + [T.StructField("_at", T.LongType())])
-        state["schema"] = schema.jsonValue()
-        made = self.spark.read.schema(T.StructType(schema.fields + [T.StructField("_late", T.BooleanType())])).parquet(f"{self.path}/{folder}")
-        found = made.groupBy("_late").agg(F.min("_at"), F.max("_at"), F.sum("n")).collect()
-        for is_late, low, high, n in found:
-            state["parts"].append({"kind": "late" if is_late else "open", "low": low, "high": high,
-                                   "folder": f"{folder}/_late={str(is_late).lower()}"})
-            state["late_rows"] += n if is_late else 0
+        state["schema"] = T.StructType(rows.schema.fields + [T.StructField("_at", T.LongType())]).jsonValue()
+        for kind, low, high, n, name in self._file(rows.withColumn("_at", at), late, ("late", "open"), folder):
+            state["parts"].append({"kind": kind, "low": low, "high": high, "folder": name})
+            state["late_rows"] += n if kind == "late" else 0
             state["newest"] = max(high, state["newest"] if state["newest"] is not None else high)
         left = self._settle(state, version)
         gone = [f for v, f in state["left"] if v < version - self.keep_versions]
@@ -64,6 +58,20 @@ class PaneLog:
             delete(self.spark, f"{self.path}/{old}")
         return True
 
+    def _file(self, rows: DataFrame, which: Column, kinds: tuple[str, str], folder: str) -> list[tuple[str, int, int, int, str]]:
+        """Write rows apart by a condition; kind, first and last second, number of counted rows and folder of each part that has any.
+
+        The figures are gathered by the write itself.
+        """
+        seen, flag = Observation(), F.coalesce(which, F.lit(False))
+        own = {k: flag if k == kinds[0] else ~flag for k in kinds}
+        watched = rows.observe(seen, *[f(F.when(c, F.col(v))).alias(f"{k}_{n}") for k, c in own.items()
+                                       for n, f, v in (("low", F.min, "_at"), ("high", F.max, "_at"), ("n", F.sum, "n"))])
+        (watched.withColumn("_part", F.when(flag, kinds[0]).otherwise(kinds[1])).coalesce(self.files)
+         .write.mode("overwrite").partitionBy("_part").parquet(f"{self.path}/{folder}"))
+        got = seen.get
+        return [(k, got[f"{k}_low"], got[f"{k}_high"], got[f"{k}_n"], f"{folder}/_part={k}") for k in kinds if got[f"{k}_low"] is not None]
+
     def _swap(self, state: dict) -> None:
         swap_text(self.spark, f"{self.path}/CURRENT", json.dumps(state))
 
@@ -74,13 +82,8 @@ class PaneLog:
         if len(of["open"]) >= self.parts and state["newest"] is not None:
             mark = max(state["newest"] - self.delay, state["mark"] if state["mark"] is not None else state["newest"] - self.delay)
             rows = self.merge(self._read(of["open"], state)).withColumn("_at", self._seconds())
-            folder = f"merged-{version}"
-            (rows.withColumn("_closed", F.col("_at") < mark).coalesce(self.files).write.mode("overwrite").partitionBy("_closed")
-             .parquet(f"{self.path}/{folder}"))
-            schema = T.StructType(T.StructType.fromJson(state["schema"]).fields + [T.StructField("_closed", T.BooleanType())])
-            made = self.spark.read.schema(schema).parquet(f"{self.path}/{folder}").groupBy("_closed").agg(F.min("_at"), F.max("_at")).collect()
-            merged = [{"kind": "closed" if c else "open", "low": low, "high": high, "folder": f"{folder}/_closed={str(c).lower()}"}
-                      for c, low, high in made]
+            merged = [{"kind": kind, "low": low, "high": high, "folder": name}
+                      for kind, low, high, _, name in self._file(rows, F.col("_at") < mark, ("closed", "open"), f"merged-{version}")]
             left += [p["folder"] for p in of["open"]]
             of["open"], of["closed"] = [p for p in merged if p["kind"] == "open"], of["closed"] + [p for p in merged if p["kind"] == "closed"]
             state["mark"] = mark
