@@ -12,10 +12,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .ann import cosine, matrix, normed, usable
-from .common import cut, partitions
+from .common import cut, mix, partitions
 from .components import connected_components
 
 BITS = 64
@@ -64,33 +64,43 @@ def sort_keys(x: np.ndarray, turn: int, seed: int, cuts: tuple[list[np.ndarray],
     return np.packbits(bits, axis=1, bitorder="big").view(">u8").ravel().astype(np.uint64)
 
 
-def _window_links(nodes: np.ndarray, x: np.ndarray, window: int, least: float) -> list[tuple[int, int]]:
-    """A forest over the verified pairs of sorted rows."""
-    unit, root = normed(x), np.arange(len(x))
+def _join(root: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[np.ndarray]:
+    """Union the trees of the pairs (p, q); the pairs that joined two trees, which form a forest."""
+    used = []
+    while True:
+        a, b = root[p], root[q]
+        live = a != b
+        if not live.any():
+            return used
+        p, q, a, b = p[live], q[live], a[live], b[live]
+        # Every larger root goes below a smaller one, by one pair each.
+        high, at = np.unique(np.maximum(a, b), return_index=True)
+        used.append(np.stack([p[at], q[at]]))
+        root[high] = np.minimum(a, b)[at]
+        while (root != root[root]).any():
+            root[:] = root[root]
 
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
 
-    links = []
-    for step in range(1, min(window, len(x) - 1) + 1):
-        near = np.flatnonzero((unit[:-step] * unit[step:]).sum(axis=1) >= least)
-        near = near[root[near] != root[near + step]]
-        for i in near.tolist():
-            a, b = find(i), find(i + step)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                links.append((int(nodes[i]), int(nodes[i + step])))
-        if near.size:
-            while (root != root[root]).any():
-                root = root[root]
-    return links
+def _window_links(nodes: np.ndarray, x: np.ndarray, window: int, least: float, rows: int = 512) -> np.ndarray:
+    """A forest over the verified pairs of sorted rows, as two rows of nodes. Values too near the bound to be told by a
+    matrix product are worked out pair by pair, as in the count of links."""
+    unit, root, links = normed(x), np.arange(len(x)), []
+    for i in range(0, len(x) - 1, rows):
+        own = unit[i:i + rows]
+        s = own @ unit[i + 1:i + len(own) + window].T
+        p, q = np.nonzero(s >= least - 1e-9)
+        inside = (q >= p) & (q < p + window)
+        p, q = p[inside], q[inside]
+        sure = s[p, q] >= least + 1e-9
+        p, q = p + i, q + i + 1
+        sure[~sure] = cosine(x[p[~sure]], x[q[~sure]]) >= least
+        links += _join(root, p[sure], q[sure])
+    return nodes[np.concatenate(links, axis=1)] if links else np.zeros((2, 0), dtype=np.int64)
 
 
 def near_copies(vectors: DataFrame, least: float = 0.95, window: int = 128, block: int = 512, seed: int = 6,
-                aim: float = 0.99, sampled: int = 4096, probes: int = 2048, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+                aim: float = 0.99, sampled: int = 4096, probes: int = 2048, per_probe: int = 32, id_col: str = "vec_id",
+                vec_col: str = "embedding") -> DataFrame:
     """`vec_id`, `n_links`, `component_id`, `kept`, one row per input row.
 
     Vectors link at a cosine (double precision) of `least` or more. Equal vectors are one node with a count, so their
@@ -99,8 +109,10 @@ def near_copies(vectors: DataFrame, least: float = 0.95, window: int = 128, bloc
     vectors are counted as several vectors; an id that comes with different vectors joins their components, and each
     row has the links of its own vector. An empty table gives an empty table; other columns are not looked at.
 
-    The number of passes follows the number of rows at first. All links of `probes` rows are then looked up by brute force;
-    while less than `aim` of them, or of those of a mean row, lie within one component, passes are added. (Even an order by
+    The number of passes follows the number of rows at first. The links of `probes` rows are counted by brute force, and
+    `per_probe` of each, those with the least hashes, are listed, which bounds the list in dense directions too. While less than `aim` of the
+    links (listed ones stand for all of their probe), or of those of a mean probe, lie within one component, passes are added.
+    The sample only decides when to stop; links and components come from all rows. (Even an order by
     chance finds a pair in 2 * `window` of as many passes as rows, so this ends.) The passes of a round are one sort by
     (pass, key), dealt by ranges, so that a dense group is split like any other; the few pairs across the end of a range
     are left to the other passes.
@@ -122,6 +134,9 @@ def near_copies(vectors: DataFrame, least: float = 0.95, window: int = 128, bloc
     shared = spark.sparkContext.broadcast((samples, asked))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each probe the `per_probe` links of a task with the least hashes; one of them bears the number of all."""
+        a, b, h = (np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.uint64))
+        held: dict[int, int] = {}
         for whole in batches:
             for i in range(0, whole.num_rows, 4096):
                 batch = whole.slice(i, 4096)
@@ -132,13 +147,33 @@ def near_copies(vectors: DataFrame, least: float = 0.95, window: int = 128, bloc
                         ids = part.column("node").to_numpy()
                         p, q = np.nonzero(normed(matrix(part.column("v"))) @ shared.value[0][dim][:len(names)].T >= least + 1e-9)
                         other = ids[p] != names[q]
-                        yield pa.RecordBatch.from_arrays([pa.array(names[q][other]), pa.array(ids[p][other])], ["a", "b"])
+                        p, q = p[other], q[other]
+                        for k, n in enumerate(np.bincount(q, minlength=len(names)).tolist()):
+                            if n:
+                                held[int(names[k])] = held.get(int(names[k]), 0) + n
+                        a, b = np.append(a, names[q]), np.append(b, ids[p])
+                        h = np.append(h, mix(names[q].view(np.uint64) ^ mix(ids[p].view(np.uint64))))
+                order = np.lexsort((h, a))
+                a, b, h = a[order], b[order], h[order]
+                begins = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, dtype=np.int64)
+                place = np.arange(len(a)) - np.repeat(begins, np.diff(np.append(begins, len(a))))
+                a, b, h = (x[place < per_probe] for x in (a, b, h))
+        n = np.zeros(len(a), dtype=np.int64)
+        first = np.unique(a, return_index=True)[1]
+        n[first] = [held[i] for i in a[first].tolist()]
+        for i in range(0, len(a), 65_536):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 65_536]) for x in (a, b, h.view(np.int64), n)], ["a", "b", "h", "n"])
 
-    truth = cut(nodes.mapInArrow(look_up, "a long, b long"))
+    listed = cut(nodes.mapInArrow(look_up, "a long, b long, h long, n long"))
+    least_hashes = Window.partitionBy("a").orderBy("h", "b")
+    truth = cut(listed.withColumn("r", F.row_number().over(least_hashes)).where(F.col("r") <= per_probe).select("a", "b")
+                .join(listed.groupBy("a").agg(F.sum("n").alias("n")), "a"))
 
     def keyed(turns: range) -> DataFrame:
+        # Bounded by the sample: some hundred kilobytes for a pass.
+        known = spark.sparkContext.broadcast({(d, t): thresholds(x, t, seed) for d, x in samples.items() for t in turns})
+
         def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            cuts = {}
             for whole in batches:
                 for i in range(0, whole.num_rows, 2048):
                     batch = whole.slice(i, 2048)
@@ -147,9 +182,8 @@ def near_copies(vectors: DataFrame, least: float = 0.95, window: int = 128, bloc
                         part = batch.filter(pa.array(dims == dim))
                         x = normed(matrix(part.column("v")))
                         for turn in turns:
-                            if (dim, turn) not in cuts:
-                                cuts[dim, turn] = thresholds(shared.value[0].get(dim, np.zeros((0, dim))), turn, seed)
-                            key = sort_keys(x, turn, seed, cuts[dim, turn])
+                            cuts = known.value.get((dim, turn)) or thresholds(np.zeros((0, dim)), turn, seed)
+                            key = sort_keys(x, turn, seed, cuts)
                             yield pa.RecordBatch.from_arrays(
                                 [part.column("dim"), pa.array(np.full(len(key), turn, dtype=np.int32)),
                                  pa.array((key ^ np.uint64(1 << 63)).view(np.int64)), part.column("node"), part.column("v")],
@@ -165,13 +199,12 @@ def near_copies(vectors: DataFrame, least: float = 0.95, window: int = 128, bloc
                 table = pa.concat_tables([carried, part]) if carried is not None else part
                 turn = table.column("turn").to_numpy().astype(np.int64) << 32 | table.column("dim").to_numpy()
                 bounds = np.append(np.flatnonzero(np.append(True, turn[1:] != turn[:-1])), len(turn))
-                links = []
+                links = [np.zeros((2, 0), dtype=np.int64)]
                 for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                     own = table.slice(a, b - a)
-                    links += _window_links(own.column("node").to_numpy(), matrix(own.column("v").combine_chunks()), window, least)
+                    links.append(_window_links(own.column("node").to_numpy(), matrix(own.column("v").combine_chunks()), window, least))
                 carried = table.slice(max(0, table.num_rows - window))
-                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()),
-                                                  pa.array([b for _, b in links], pa.int64())], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(links, axis=1)], ["a", "b"])
 
     # Ids that occur with several vectors hold their nodes together.
     several = rows.groupBy("vec_id").agg(F.min("v").alias("x"), F.max("v").alias("y")).where("x <> y").select("vec_id")
@@ -179,12 +212,12 @@ def near_copies(vectors: DataFrame, least: float = 0.95, window: int = 128, bloc
             .select(F.col("vec_id").alias("a"), F.col("node").alias("b")))
 
     def recall(groups: DataFrame) -> float:
-        """Of the links of the probes, or of those of a mean probe, the smaller share that lies within a component."""
+        """Of the links of the probes, or of those of a mean probe, the smaller share that lies within a component, as drawn."""
         ends = truth.join(groups.select(F.col("node").alias("a"), F.col("component").alias("x")), "a", "left").join(
             groups.select(F.col("node").alias("b"), F.col("component").alias("y")), "b", "left")
         together = F.coalesce("x", "a") == F.coalesce("y", "b")
-        found = (ends.groupBy("a").agg(F.sum(together.cast("long")).alias("k"), F.count("*").alias("n"))
-                 .agg(F.sum("k") / F.sum("n"), F.avg(F.col("k") / F.col("n"))).first())
+        found = (ends.groupBy("a").agg(F.avg(together.cast("int")).alias("share"), F.first("n").alias("n"))
+                 .agg(F.sum(F.col("share") * F.col("n")) / F.sum("n"), F.avg("share")).first())
         return 1.0 if found[0] is None else min(found)
 
     edges, done, step = same, 0, first

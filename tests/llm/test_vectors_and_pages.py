@@ -67,6 +67,35 @@ def test_near_copies(spark, clustered):
     assert embed_dedup.near_copies(vectors(spark, [])).count() == 0
 
 
+def test_window_links_are_a_forest_of_all_near_pairs():
+    """Against every pair of the window one by one, with values at the bound; sorted rows of any number."""
+    rng = np.random.default_rng(9)
+    for count, window in ((0, 4), (1, 4), (2, 4), (700, 1), (700, 40), (1300, 700)):
+        x = rng.normal(size=(max(1, count // 6), 8))[rng.integers(0, max(1, count // 6), count)] if count else np.zeros((0, 8))
+        x = x + rng.normal(scale=0.12, size=x.shape)
+        pairs = [(i, j) for i in range(count) for j in range(i + 1, min(count, i + window + 1))]
+        i, j = np.array(pairs or [(0, 0)][:0], dtype=int).reshape(-1, 2).T
+        values = ann.cosine(x[i], x[j])
+        # The bound is a value that occurs, so that pair links and the next smaller one doesn't.
+        least = float(np.sort(values)[-max(1, len(values) // 30)]) if len(values) else 0.95
+        near = values >= least
+        nodes = np.arange(count) * 3 + 5
+        got = embed_dedup._window_links(nodes, x, window, least, rows=64)
+        want, found = np.arange(count), np.arange(count)
+        embed_dedup._join(want, i[near], j[near])
+        a, b = (got - 5) // 3
+        assert set(zip(a.tolist(), b.tolist())) <= set(zip(i[near].tolist(), j[near].tolist()))
+        embed_dedup._join(found, a, b)
+        assert (want == found).all() and got.shape[1] == count - len(set(found.tolist()))
+
+
+def test_probes_list_a_bounded_number_of_links(spark, clustered):
+    """Few listed links give the same classes."""
+    rows = vectors(spark, [(i, v.tolist(), 1) for i, v in enumerate(clustered)])
+    few = embed_dedup.near_copies(rows, per_probe=2).select("vec_id", "component_id").collect()
+    assert sorted(few) == sorted(embed_dedup.near_copies(rows).select("vec_id", "component_id").collect())
+
+
 def test_near_copies_in_a_dense_direction(spark):
     """A third of the rows lies around one direction; pairs of copies among them are found like any others."""
     rng = np.random.default_rng(3)
