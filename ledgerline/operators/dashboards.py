@@ -126,18 +126,6 @@ def bucket_mix(df: DataFrame, group: list[str], col: str, low: int = 0, high: in
     return df.groupBy(*group).agg(*bucket_shares(col, low, high))
 
 
-def first_non_empty(df: DataFrame, key: str, col: str, order: list[str]) -> DataFrame:
-    """First non-empty attribute per key; keys with none keep an empty string."""
-    value = F.when(F.coalesce(col, F.lit("")) != "", F.col(col))
-    at = F.when(value.isNotNull(), F.struct(*order))
-    return df.groupBy(key).agg(F.coalesce(F.min_by(value, at), F.lit("")).alias(col))
-
-
-def last_seen(df: DataFrame, key: str, col: str, order: list[str]) -> DataFrame:
-    """Last attribute per key."""
-    return df.groupBy(key).agg(F.max_by(col, F.struct(*order)).alias(col))
-
-
 def first_and_last(df: DataFrame, key: str, first: str, last: str, order: list[str]) -> DataFrame:
     """First non-empty value of one attribute and last value of another, in one aggregate."""
     value = F.when(F.coalesce(first, F.lit("")) != "", F.col(first))

@@ -1,22 +1,5 @@
 """Schemas of the record kinds the operators read, as DDL text."""
 
-USAGE = (
-    "period string, entity string, star int, use_count bigint, own_count bigint, "
-    "use_rate decimal(5,2), own_rate decimal(5,2), tier string")
-
-BASKET_RANKING = (
-    "period string, basket string, use_count int, use_rate decimal(5,2), "
-    "attend_rate decimal(5,2), has_rate decimal(5,2), up_use int, down_use int")
-
-ENTITY_AVERAGE = (
-    "entity string, star int, player_count bigint, avg_level decimal(4,1), "
-    "avg_constellation decimal(3,2), avg_damage bigint, damage_type string, "
-    "top_weapon string, top_artifact string")
-
-ENTITY_SCORE = (
-    "entity string, star int, ability decimal(3,1), look decimal(3,1), score decimal(3,1), "
-    "votes int, favorite int")
-
 # Scalars are read as text so that 5 and "5" are the same value.
 BOX_ITEM = "name string, star string, constellation string, level string"
 MEMBER_ITEM = "name string, star string"
@@ -33,9 +16,3 @@ LOOSE_TEAM = "half string, team_index string, members array<string>"
 BUILD_MESSAGE = (
     "role string, ename string, star int, uid string, level int, constellation int, "
     "avg_damage bigint, weapon struct<name:string,refinement:int>, artifact_set struct<name:string>")
-
-SCORE_MESSAGE = (
-    "role string, star int, satify double, ability double, look double, vote_sum bigint, delta double")
-
-DRAW_RECORD = (
-    "uid string, item string, star int, type string, is_up boolean, date string, version string")

@@ -110,6 +110,30 @@ def pair_documents(left: DataFrame, right: DataFrame, period: str | Column,
             .select("uid", label.alias("version"), "box", "record"))
 
 
+def scan_pairs(spark: SparkSession, path: str, period: str | Column | None = None, left_suffix: str = "_box.json",
+               right_suffix: str = "_record.json") -> DataFrame:
+    """Pair the files under `path`, at any depth, by their folder and the user id in their names; columns of `pair_documents`.
+
+    The version is the name of the folder that holds the files, unless `period` gives one. Files of both kinds come from one
+    listing and one scan, in which small files share tasks, and meet in one shuffle. Files with other names, right files
+    without a left one and empty files are left out; a file that is no JSON is a null.
+    """
+    glob = "*{" + ",".join((left_suffix, right_suffix)) + "}"
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
+    # Paths come encoded, with a plus sign left as it is.
+    place = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    named = files.select(place.alias("place"), F.col("value").alias("body")).select(
+        F.regexp_extract("place", "^(.*)/[^/]*$", 1).alias("folder"), F.substring_index("place", "/", -1).alias("file"), "body")
+    sides = [F.col("file").endswith(s) for s in (left_suffix, right_suffix)]
+    lengths = F.when(sides[0], len(left_suffix)).otherwise(len(right_suffix))
+    uid = F.col("file").substr(F.lit(1), F.length("file") - lengths)
+    paired = (named.select("folder", uid.alias("uid"), *[F.when(s, F.col("body")).alias(n) for s, n in zip(sides, ("box", "record"))])
+              .where("uid <> ''").groupBy("folder", "uid").agg(F.max("box").alias("box"), F.max("record").alias("record")))
+    label = F.substring_index("folder", "/", -1) if period is None else F.lit(period) if isinstance(period, str) else period
+    return paired.where("box is not null").select(
+        "uid", label.alias("version"), F.try_parse_json("box").alias("box"), F.try_parse_json("record").alias("record"))
+
+
 def to_lines(paired: DataFrame) -> DataFrame:
     """Records as JSON lines; null fields are written out."""
     return paired.select(F.to_json(F.struct(*paired.columns), {"ignoreNullFields": "false"}).alias("value"))

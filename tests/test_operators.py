@@ -275,6 +275,26 @@ def test_paired_documents(spark):
         ('{"uid":"8","version":"v1","box":{"uid":"8"},"record":null}',)]
 
 
+def test_pairs_by_file_names(spark, tmp_path):
+    """Users of one id in two folders stay apart; ids may hold any character of a file name."""
+    files = {"v1/7_box.json": '{"uid": "7"}', "v1/7_record.json": '{\n "n": 1\n}', "v2/7_box.json": '{"uid": "seven"}', "v2/8_record.json": "{}",
+             "v 3+é%/a b+ü%20_box.json": "[1]", "v 3+é%/a b+ü%20_record.json": "{broken", "v1/9_box.json": "", "v1/_box.json": "{}",
+             "v1/notes.txt": "x", "v1/deep/7_box.json": "{}"}
+    for name, body in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(body, encoding="utf-8")
+    made = rd.to_lines(rd.scan_pairs(spark, str(tmp_path)))
+    assert rows(made, "value") == [
+        ('{"uid":"7","version":"deep","box":{},"record":null}',),
+        ('{"uid":"7","version":"v1","box":{"uid":"7"},"record":{"n":1}}',),
+        ('{"uid":"7","version":"v2","box":{"uid":"seven"},"record":null}',),
+        ('{"uid":"a b+ü%20","version":"v 3+é%","box":[1],"record":null}',)]
+    assert {r.version for r in rd.scan_pairs(spark, str(tmp_path), "now").collect()} == {"now"}
+    # One scan and one exchange for both kinds.
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_rerun_of_a_partition_write(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("v1", 1), ("v2", 2)], "period string, n int")
