@@ -11,11 +11,21 @@ import json
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..operators.maintenance import enrich, insert_ignore, upsert
 from .files import children, delete, read_text, swap_text
 
+# A task writes many small files: the tasks, and what each of them reports to the driver, follow the rows and not the files.
+ROWS_PER_TASK = 100_000
+
+
+def _by_part(made: list[dict]) -> dict[int, list[dict]]:
+    parts: dict[int, list[dict]] = {}
+    for m in made:
+        parts.setdefault(m["part"], []).append(m)
+    return parts
+
 
 class RangedTable:
     """Rows under `path`, cut by the column `key` into files of about `rows_per_file` rows. One writer, any number of readers."""
@@ -72,10 +82,14 @@ class RangedTable:
     def _write(self, rows: DataFrame, version: int, count: int) -> list[dict]:
         """Write rows (with `_part`, the file that they replace) and describe the new files."""
         folder, own = f"v{version}", [c for c in rows.columns if c != "_part"]
-        n = max(1, -(-count // self.rows_per_file))
-        (rows.repartitionByRange(n, "_part", self.key).sortWithinPartitions("_part", self.key)
-         .write.mode("overwrite").partitionBy("_part").parquet(f"{self.path}/{folder}"))
-        schema = T.StructType([rows.schema[c] for c in own] + [T.StructField("_part", T.IntegerType())])
+        n = max(1, -(-count // max(self.rows_per_file, ROWS_PER_TASK)))
+        # A task holds a block of the key order and cuts it into files; rows with equal keys have one rank, so they stay together.
+        place = F.rank().over(Window.partitionBy("_part", "_block").orderBy(self.key)) - 1
+        cut = F.shiftleft(F.col("_block").cast("long"), 32) + F.floor(place / self.rows_per_file)
+        (rows.repartitionByRange(n, "_part", self.key).withColumn("_block", F.spark_partition_id())
+         .repartition(n, "_part", "_block").withColumn("_cut", cut).drop("_block").sortWithinPartitions("_part", "_cut", self.key)
+         .write.mode("overwrite").partitionBy("_part", "_cut").parquet(f"{self.path}/{folder}"))
+        schema = T.StructType([rows.schema[c] for c in own] + [T.StructField("_part", T.IntegerType()), T.StructField("_cut", T.LongType())])
         made = self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
         key = F.col(self.key)
         found = (made.groupBy(F.col("_metadata.file_path").alias("_name"), "_part")
@@ -88,10 +102,10 @@ class RangedTable:
 
     def _commit(self, state: dict, made: list[dict], parts: set[int]) -> None:
         """Name `made` in place of the files with the numbers `parts`."""
-        version, files, gone = state["version"] + 1, [], []
+        version, files, gone, instead = state["version"] + 1, [], [], _by_part(made)
         for i, f in enumerate(state["files"]):
             if i in parts:
-                files += [m for m in made if m["part"] == i]
+                files += instead.get(i, [])
                 gone.append(f["name"])
             else:
                 files.append(f)
@@ -116,8 +130,9 @@ class RangedTable:
         count = sum(f["rows"] for f in before.values()) + (new.count() if inserts else 0)
         merged = fn(self._read(list(before.values()), state), new).select(*self._schema(state).names)
         made = self._write(merged.withColumn("_part", owner), state["version"] + 1, count)
+        instead = _by_part(made)
         same = {i for i, f in before.items()
-                if (sum(m["rows"] for m in made if m["part"] == i), sum(int(m["sum"]) for m in made if m["part"] == i)) == (f["rows"], int(f["sum"]))}
+                if (sum(m["rows"] for m in instead.get(i, [])), sum(int(m["sum"]) for m in instead.get(i, []))) == (f["rows"], int(f["sum"]))}
         for m in made:
             if m["part"] in same:
                 delete(self.spark, f"{self.path}/{m['name']}")
@@ -151,8 +166,8 @@ class RangedTable:
         row = self.spark.range(1).select(F.transform(highs, lambda h: F.coalesce(h < low, F.lit(False))).alias("below"),
                                          low.cast("string").alias("floor")).first()
         out = [f["name"] for f, below in zip(state["files"], row["below"]) if below and not f["nulls"]]
-        version = state["version"] + 1
+        version, dropped = state["version"] + 1, set(out)
         swap_text(self.spark, f"{self.path}/CURRENT", json.dumps(state | {
-            "version": version, "files": [f for f in state["files"] if f["name"] not in out], "floor": row["floor"],
+            "version": version, "files": [f for f in state["files"] if f["name"] not in dropped], "floor": row["floor"],
             "left": state["left"] + [[version, name] for name in out]}))
         return out

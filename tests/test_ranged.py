@@ -139,3 +139,15 @@ def test_snapshot_cycle_equals_brute_force(spark, tmp_path):
         got = {(r.t, r.entity): r.n for r in cycle.read().select(F.unix_seconds("snapshot_time").alias("t"), "entity", "n").collect()}
         assert got == want
     assert len(cycle.current()["snapshots"]) <= 4
+
+
+def test_tasks_follow_rows_and_files_are_full(spark, tmp_path):
+    """Files are as large as asked for, however many new rows a merge leaves out; one task writes many of them and equal keys share a file."""
+    t = table(spark, tmp_path, [(k // 3 if k < 90 else k, "a", k) for k in range(400)], per_file=40)
+    new = spark.createDataFrame([(k // 3, "b", k) for k in range(2000)], SCHEMA)
+    t.insert_ignore(new, ["k"], ["v"])
+    state = t.current()["files"]
+    assert {f["name"].rsplit("/part-", 1)[1][:5] for f in state} == {"00000"}
+    total = sum(f["rows"] for f in state)
+    assert total == t.read().count() and total / 40 <= len(state) <= 2 * total / 40
+    assert all(int(f["high"]) < int(g["low"]) for f, g in zip(state, state[1:]))
