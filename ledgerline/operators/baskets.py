@@ -222,12 +222,13 @@ def feasible_baskets(leading: DataFrame, inventory: DataFrame) -> DataFrame:
 def feasible_pairs(pairs: DataFrame, feasible: DataFrame) -> DataFrame:
     """Disjoint pairs a user can field: both baskets must be feasible for that user.
 
-    `feasible` is the result of `feasible_baskets`; it is read twice, so write it once before.
+    `feasible` is the result of `feasible_baskets`. A user's baskets come together as a list, no longer than the
+    leading baskets, and meet the partners of each; the pairs themselves are never moved.
     """
-    first = feasible.select("uid", F.col("no").alias("a"))
-    second = feasible.select("uid", F.col("no").alias("b"))
-    return (first.join(pairs.select("a", "b"), "a")
-            .join(second, ["uid", "b"]).select("uid", "a", "b"))
+    able = (feasible.filter(F.col("uid").isNotNull()).groupBy("uid").agg(F.collect_set("no").alias("_able")))
+    partners = pairs.groupBy("a").agg(F.collect_set("b").alias("_partners"))
+    return (able.select("uid", "_able", F.explode("_able").alias("a")).join(F.broadcast(partners), "a")
+            .select("uid", "a", F.explode(F.array_intersect("_able", "_partners")).alias("b")))
 
 
 def member_key(members: Column) -> Column:

@@ -136,8 +136,7 @@ def disjoint_pairs(spark, sf):
   SELECT x.uid, d.a::INTEGER AS a, d.b::INTEGER AS b FROM disjoint d JOIN able x ON x.no=d.a JOIN able y ON y.no=d.b AND y.uid=x.uid""", "lead_baskets"))
 def feasible_pairs(spark, sf):
     lead = leading(spark, sf)
-    able = stage(spark, bk.feasible_baskets(lead, r.lines(spark, sf)), "feasible")
-    return bk.feasible_pairs(bk.disjoint_pairs(lead), able)
+    return bk.feasible_pairs(bk.disjoint_pairs(lead), bk.feasible_baskets(lead, r.lines(spark, sf)))
 
 
 BASKET_SIDES = """, sized AS (SELECT any_value(ostatus) AS ostatus, string_agg(entity, '+' ORDER BY entity) AS basket

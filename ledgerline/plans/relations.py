@@ -25,12 +25,15 @@ def _brand_number(c: Column) -> Column:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order and part: the raw usage facts."""
+    """Line items with their order and part: the raw usage facts.
+
+    Orders are joined last, so that what is grouped by order next lies together already.
+    """
     item = table(spark, sf_dir, "lineitem")
     order = table(spark, sf_dir, "orders")
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("entity"))
-    return (item.join(order, item.l_orderkey == order.o_orderkey)
-            .join(part, item.l_partkey == part.p_partkey)
+    return (item.join(part, item.l_partkey == part.p_partkey)
+            .join(order, item.l_orderkey == order.o_orderkey)
             .select(F.year("o_orderdate").cast("string").alias("period"), "o_orderdate",
                     F.col("o_custkey").alias("uid"), F.col("l_orderkey").alias("orderkey"),
                     F.when(F.col("o_orderstatus") == "F", "F").otherwise("O").alias("ostatus"), "entity",

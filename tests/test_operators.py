@@ -138,6 +138,16 @@ def test_usage_needs_four_members(spark):
     assert rows(bk.basket_usage(df, F.lit(4), ["uid"], ordered=False), "basket", "n") == [("a + b + c + d", 3)]
 
 
+def test_feasible_pairs_are_not_moved(spark):
+    """Only lists of baskets are shuffled, not a row for each user and pair."""
+    able = spark.createDataFrame([(u, n) for u in (1, 2, None) for n in range(1, 6) if u != 2 or n != 3], "uid long, no int")
+    pairs = spark.createDataFrame([(1, 3), (1, 4), (2, 5), (3, 5), (7, 8), (5, 9)], "a int, b int")
+    got = bk.feasible_pairs(pairs, able)
+    assert rows(got, "uid", "a", "b") == [(1, 1, 3), (1, 1, 4), (1, 2, 5), (1, 3, 5), (2, 1, 4), (2, 2, 5)]
+    moves = [line.strip() for line in got._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in line]
+    assert len(moves) == 1 and "BroadcastHashJoin" in moves[0]
+
+
 def test_disjoint_and_feasible_pairs(spark):
     sets = {"x": "ab", "y": "cd", "z": "bc", "w": "e"}
     df = spark.createDataFrame([(k, list(v), float(i)) for i, (k, v) in enumerate(sets.items(), 1)],
