@@ -138,6 +138,20 @@ def test_usage_needs_four_members(spark):
     assert rows(bk.basket_usage(df, F.lit(4), ["uid"], ordered=False), "basket", "n") == [("a + b + c + d", 3)]
 
 
+def test_itemsets_of_a_size_are_counted(spark, monkeypatch):
+    """Sets of one and two members equal those of the mining and do without it."""
+    rnd = random.Random(3)
+    data = [(sorted(rnd.sample("abcdefgh?", rnd.randint(0, 5)), key=lambda _: rnd.random()),) for _ in range(300)] + [(None,), (["rare", "a"],)]
+    df = spark.createDataFrame(data, "items array<string>")
+    every = [(tuple(r["items"]), r.freq) for r in mn.itemsets(df, 0.05).collect()]
+    monkeypatch.setattr(mn, "FPGrowth", None)
+    for size in (1, 2):
+        got = mn.itemsets(df, 0.05, size)
+        assert sorted((tuple(r["items"]), r.freq) for r in got.collect()) == sorted(x for x in every if len(x[0]) == size)
+        assert got.columns == ["items", "freq"] and dict(got.dtypes)["freq"] == "bigint"
+    assert mn.itemsets(df.limit(0), size=2).count() == 0
+
+
 def test_feasible_pairs_are_not_moved(spark):
     """Only lists of baskets are shuffled, not a row for each user and pair."""
     able = spark.createDataFrame([(u, n) for u in (1, 2, None) for n in range(1, 6) if u != 2 or n != 3], "uid long, no int")
