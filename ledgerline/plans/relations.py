@@ -207,7 +207,9 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A record lists each entity once, so its arrays are as long as the entity vocabulary at most.
     """
-    grouped = detail_of(lines(spark, sf_dir)).groupBy("period", "uid").agg(
+    # Both groupings find their rows together after this one shuffle.
+    facts = lines(spark, sf_dir).repartition("period", "uid")
+    grouped = detail_of(facts).groupBy("period", "uid").agg(
         F.sort_array(F.collect_list(F.struct("entity", "star", "constellation", "level", "h1", "h2"))).alias("e"))
     f = F.col("uid") % 37
     uid = F.col("uid").cast("string")

@@ -112,3 +112,11 @@ def test_batches_keep_the_newest(spark):
     bad = sum(i % 3 for i in range(1, 121))
     assert got[120].cum_rate == pytest.approx(round((1200 - bad) / 1200 * 100, 2))
     assert got[120].clean_rate == 100.0
+
+
+def test_record_lines_are_shuffled_once(spark, monkeypatch):
+    from conftest import SF_DIR
+    from ledgerline.plans import relations
+    monkeypatch.setattr(relations, "stage", lambda spark, df, label: df)
+    plan = relations.record_lines(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning(period" in line for line in plan.splitlines()) == 1
