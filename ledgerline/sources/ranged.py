@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable
+import threading
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -18,6 +20,21 @@ from .files import children, delete, read_text, swap_text
 
 # A task writes many small files: the tasks, and what each of them reports to the driver, follow the rows and not the files.
 ROWS_PER_TASK = 100_000
+# Spark lists files by a task for each path, up to the number in this setting; a task sends some 3 KB to the driver besides the names it found.
+LISTING, FILES_PER_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism", 500
+_listing = threading.Lock()
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession, files: int) -> Iterator[None]:
+    """Inside, about `files` files are listed by a task for every few hundred of them, and no fewer tasks than cores."""
+    with _listing:
+        usual = spark.conf.get(LISTING)
+        spark.conf.set(LISTING, str(min(int(usual), max(spark.sparkContext.defaultParallelism, files // FILES_PER_LISTING))))
+        try:
+            yield
+        finally:
+            spark.conf.set(LISTING, usual)
 
 
 def _by_part(made: list[dict]) -> dict[int, list[dict]]:
@@ -62,7 +79,8 @@ class RangedTable:
         schema = self._schema(state)
         if not files:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f['name']}" for f in files])
+        with few_listing_tasks(self.spark, len(files)):
+            return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f['name']}" for f in files])
 
     def _owner(self, state: dict) -> Column:
         """Number of the file that a key belongs to. Least values are looked at in two steps, so a row takes about two roots of their number."""
@@ -90,7 +108,8 @@ class RangedTable:
          .repartition(n, "_part", "_block").withColumn("_cut", cut).drop("_block").sortWithinPartitions("_part", "_cut", self.key)
          .write.mode("overwrite").partitionBy("_part", "_cut").parquet(f"{self.path}/{folder}"))
         schema = T.StructType([rows.schema[c] for c in own] + [T.StructField("_part", T.IntegerType()), T.StructField("_cut", T.LongType())])
-        made = self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
+        with few_listing_tasks(self.spark, count // self.rows_per_file):
+            made = self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
         key = F.col(self.key)
         found = (made.groupBy(F.col("_metadata.file_path").alias("_name"), "_part")
                  .agg(F.min(key).alias("_least"), F.max(key).alias("_most"), F.count("*").alias("_rows"), F.count_if(key.isNull()).alias("_nulls"),

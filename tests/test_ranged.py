@@ -151,3 +151,17 @@ def test_tasks_follow_rows_and_files_are_full(spark, tmp_path):
     total = sum(f["rows"] for f in state)
     assert total == t.read().count() and total / 40 <= len(state) <= 2 * total / 40
     assert all(int(f["high"]) < int(g["low"]) for f, g in zip(state, state[1:]))
+
+
+def test_listing_tasks_do_not_follow_files(spark, tmp_path):
+    """What a listing sends to the driver is names, not the overhead of a task for each file; the session keeps its setting."""
+    sc, usual = spark.sparkContext, spark.conf.get(ranged.LISTING)
+    sc.setJobGroup("listing", "200 files")
+    t = table(spark, tmp_path, [(k, "a", k) for k in range(2000)], per_file=10)
+    rows = t.read()
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert len(files(t)) == 200 and rows.count() == 2000
+    assert max(s.numTasks for s in stages if s) <= 20
+    assert spark.conf.get(ranged.LISTING) == usual
