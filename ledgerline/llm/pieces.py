@@ -2,8 +2,9 @@
 
 A text is marked as the library does: one whitespace marker in front, one for each space. If no piece of the vocabulary has a
 marker behind another character, no merge can cross the place before a run of markers. So a text is cut there, each distinct
-chunk (a run of markers and the word behind it) is segmented once, and the ids come back by the chunks' positions. The
-vocabulary is checked for this; a model that normalizes or has other kinds of pieces is refused.
+chunk (a run of markers and the word behind it) is segmented once, and the ids come back by the chunks' positions. New short
+chunks are merged many at once, in rounds over arrays; long ones have a heap each. The vocabulary is checked for this; a model
+that normalizes or has other kinds of pieces is refused.
 """
 from __future__ import annotations
 
@@ -24,6 +25,17 @@ from .common import ragged
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 CROSSING = re.compile(f"[^{MARK}]{MARK}")
+SHORT, FEW, BLOCK = 64, 256, 16_000     # characters of a short chunk; chunks that pay for a round; chunks of one call
+NONE, GONE = np.iinfo(np.int32).max, -1
+
+
+class Merges(NamedTuple):
+    """Pairs of symbols that make a piece. A symbol is the id of a piece, or a number behind them for a character that is none."""
+    chars: dict[str, int]   # symbols of the characters of pieces
+    other: int              # symbol of all other characters
+    keys: np.ndarray        # left * (other + 1) + right, ascending, and a last one that no pair has
+    ranks: np.ndarray       # the better the score, the smaller; equal for equal scores
+    made: np.ndarray
 
 
 class Vocabulary(NamedTuple):
@@ -32,6 +44,18 @@ class Vocabulary(NamedTuple):
     first_byte: int               # id of the byte 0; the others follow
     surfaces: list[bytes | None]  # what an id decodes to; None for the unknown piece
     end: int
+    merges: Merges
+
+
+def _merges(scores: dict[str, float], ids: dict[str, int], n_ids: int) -> Merges:
+    loose = sorted({c for piece in ids for c in piece} - ids.keys())
+    numbers = ids | {c: n_ids + i for i, c in enumerate(loose)}
+    other = n_ids + len(loose)
+    ranks = np.unique([-s for s in scores.values()], return_inverse=True)[1].tolist()
+    found = sorted((numbers[piece[:i]] * (other + 1) + numbers[piece[i:]], rank, ids[piece]) for piece, rank in zip(scores, ranks)
+                   for i in range(1, len(piece)) if piece[:i] in numbers and piece[i:] in numbers)
+    keys, ranks, made = np.array(found + [(np.iinfo(np.int64).max, NONE, GONE)], dtype=np.int64).T
+    return Merges({c: n for c, n in numbers.items() if len(c) == 1}, other, keys.copy(), ranks.astype(np.int32), made.astype(np.int32))
 
 
 def load_vocabulary(path: str) -> Vocabulary:
@@ -60,15 +84,19 @@ def load_vocabulary(path: str) -> Vocabulary:
     sample = "   ａﬁ  ①é\t"
     if model.decode(model.encode(sample)) != sample or model.encode("a")[0] != ids.get(MARK + "a", -1):
         raise ValueError("the model changes texts before it cuts them")
-    return Vocabulary(scores, ids, first, surfaces, model.eos_id())
+    return Vocabulary(scores, ids, first, surfaces, model.eos_id(), _merges(scores, ids, len(surfaces)))
 
 
 class Segmenter:
-    """Merges of one chunk, the best score first, of equal scores the leftmost."""
+    """Merges of chunks, the best score first, of equal scores the leftmost."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.scores, self.ids, self.first_byte = vocabulary.scores, vocabulary.ids, vocabulary.first_byte
         self.longest = max(map(len, self.scores), default=0)
+        self.n_ids, self.merges = len(vocabulary.surfaces), vocabulary.merges
+        self.symbols = np.full(0x110000, self.merges.other, dtype=np.int32)
+        for char, symbol in self.merges.chars.items():
+            self.symbols[ord(char)] = symbol
 
     def segment(self, chunk: str) -> list[int]:
         known = self.ids.get(chunk)
@@ -108,6 +136,47 @@ class Segmenter:
                     out.append(found)
         return out
 
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank (or NONE) and result of each pair of symbols."""
+        keys = left.astype(np.int64) * (self.merges.other + 1) + right
+        at = np.searchsorted(self.merges.keys, keys)
+        at[self.merges.keys[at] != keys] = -1
+        return self.merges.ranks[at], self.merges.made[at]
+
+    def segment_many(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks, one chunk after the other, and their counts. In a round each chunk takes its next merge or is done."""
+        points = np.frombuffer("".join(chunks).encode("utf-32-le"), dtype="<u4")
+        counts = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
+        starts = first = np.cumsum(counts) - counts
+        out = self.symbols[points]      # a merged symbol stands where its first character was
+        now, places = out.copy(), np.arange(len(out))
+        ranks, made = np.full(len(out), NONE, dtype=np.int32), np.full(len(out), GONE, dtype=np.int32)
+        ranks[:-1], made[:-1] = self._pairs(now[:-1], now[1:])
+        ranks[first[1:] - 1] = NONE
+        while len(now):
+            best = np.minimum.reduceat(ranks.astype(np.int64) << 32 | np.arange(len(now)), starts)
+            live = best < NONE << 32
+            left = best[live] & 0xFFFFFFFF
+            out[places[left]] = now[left] = made[left]
+            out[places[left + 1]] = GONE
+            ranks[left] = NONE
+            keep, before = np.repeat(live, counts), left - starts[live]
+            keep[left + 1] = False
+            now, places, ranks, made = now[keep], places[keep], ranks[keep], made[keep]
+            counts = counts[live] - 1
+            starts = np.cumsum(counts) - counts
+            left = starts + before
+            again = np.concatenate([left[before + 1 < counts], left[before > 0] - 1])
+            ranks[again], made[again] = self._pairs(now[again], now[again + 1])
+        width = (out != GONE).astype(np.int64)
+        spelt = out >= self.n_ids       # characters without a piece are their bytes
+        chars = points[spelt]
+        width[spelt] += (chars >= 0x80).astype(np.int64) + (chars >= 0x800) + (chars >= 0x10000)
+        ids = np.repeat(out, width)
+        spelling = np.frombuffer(chars.tobytes().decode("utf-32-le").encode(), dtype=np.uint8)
+        ids[np.repeat(spelt, width)] = spelling.astype(np.int32) + self.first_byte
+        return ids, np.add.reduceat(width, first)
+
 
 class ChunkTable:
     """Ids of the distinct chunks met so far; more than `keep` of them, or ids beyond `keep_ids`, are made anew."""
@@ -134,17 +203,31 @@ class ChunkTable:
         yield from self._finish(held)
 
     def _finish(self, held: list[np.ndarray]) -> Iterator[np.ndarray]:
-        new = [self.segmenter.segment(c) for c in itertools.islice(self.index, len(self.starts), None)]
+        new = list(itertools.islice(self.index, len(self.starts), None))
         if new:
-            counts = np.fromiter(map(len, new), dtype=np.int64, count=len(new))
-            made = np.fromiter(itertools.chain.from_iterable(new), dtype=np.int32, count=int(counts.sum()))
-            self.starts = np.concatenate([self.starts, np.cumsum(counts) - counts + len(self.ids)])
-            self.counts, self.ids = np.concatenate([self.counts, counts]), np.concatenate([self.ids, made])
+            self._add(new)
         for chunks in held:
             yield self.ids[ragged(self.starts[chunks], self.counts[chunks])]
         if len(self.index) > self.keep or len(self.ids) > self.keep_ids:
             self.clear()
 
+    def _add(self, new: list[str]) -> None:
+        """Segment new chunks. Rounds cost up to the square of a chunk's length, so long ones, and a few, go one by one."""
+        short = np.flatnonzero(np.fromiter(map(len, new), dtype=np.int64, count=len(new)) <= SHORT)
+        short = short if len(short) >= FEW else short[:0]
+        single = np.setdiff1d(np.arange(len(new)), short)
+        counts, made = np.zeros(len(new), dtype=np.int64), [self.ids]
+        for some in (short[i:i + BLOCK] for i in range(0, len(short), BLOCK)):
+            ids, counts[some] = self.segmenter.segment_many([new[i] for i in some.tolist()])
+            made.append(ids)
+        alone = [self.segmenter.segment(new[i]) for i in single.tolist()]
+        counts[single] = np.fromiter(map(len, alone), dtype=np.int64, count=len(alone))
+        made.append(np.fromiter(itertools.chain.from_iterable(alone), dtype=np.int32, count=int(counts[single].sum())))
+        order, starts = np.concatenate([short, single]), np.zeros(len(new), dtype=np.int64)
+        starts[order] = len(self.ids) + np.cumsum(counts[order]) - counts[order]
+        self.starts, self.counts = np.concatenate([self.starts, starts]), np.concatenate([self.counts, counts])
+        self.ids = np.concatenate(made)
+
 
 class Decoder:
     """Ids to texts: markers are spaces, the one that encoding puts in front goes, byte pieces are bytes."""
@@ -180,15 +263,16 @@ def encode_texts(docs: DataFrame, vocabulary: Vocabulary, ids: bool = True, id_c
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = decoder = None
+        table = decoder = decimals = None
         for batch in batches:
             if table is None:
                 table, decoder = ChunkTable(shared.value), Decoder(shared.value)
+                decimals = np.array([str(i) for i in range(len(shared.value.surfaces))], dtype=object)
             end = np.array([shared.value.end], dtype=np.int32)
             at, size, rows = 0, 0, []
             for made in table.encode((v.as_py() or "" for v in batch.column("text"))):
                 whole = np.concatenate([made, end])
-                rows.append((len(whole), hashlib.sha256(" ".join(map(str, whole.tolist())).encode()).hexdigest(),
+                rows.append((len(whole), hashlib.sha256(" ".join(decimals[whole].tolist()).encode()).hexdigest(),
                              hashlib.sha256(decoder.decode(whole)).hexdigest(), whole if ids else None))
                 size += len(whole)
                 if size > 2_000_000:

@@ -67,6 +67,31 @@ def test_each_chunk_is_segmented_once(vocabulary):
     assert sorted(seen) == ["▁be", "▁not", "▁or", "▁to"]
 
 
+def test_new_short_chunks_are_merged_many_at_once(library, vocabulary):
+    """Chunks of all kinds, many at once: the library's ids, and only long chunks go one by one."""
+    texts = [t for t in odd_texts() if " " in t or len(t) < 100] + [f"w{i} {chr(0x4e00 + i)}\n\x00😀{i * i}" for i in range(3_000)]
+    table, alone = pieces.ChunkTable(vocabulary), []
+    inner = table.segmenter.segment
+    table.segmenter.segment = lambda chunk: alone.append(len(chunk)) or inner(chunk)
+    made = [ids.tolist() for ids in table.encode(texts, together=100_000_000)]
+    assert made == [library.encode(t) for t in texts]
+    assert len(table.index) > 5_000 and len(alone) < 300 and min(alone) > pieces.SHORT
+
+
+def test_rounds_equal_the_heap(vocabulary):
+    """Also for equal scores, where the leftmost pair goes first, and for characters that are in pieces but are none."""
+    rnd = random.Random(14)
+    scores = {"a": 0.0, "b": 0.0, "ab": -1.0, "ba": -1.0, "aa": -1.0, "aba": -2.0, "abab": -2.0, "bab": -2.5, "éa": -1.0, "aaé": -3.0, "a😀": -0.5}
+    ids = {piece: 300 + i for i, piece in enumerate(scores)}
+    surfaces = [b""] * 300 + [p.encode() for p in scores]
+    small = pieces.Vocabulary(scores, ids, 3, surfaces, 2, pieces._merges(scores, ids, len(surfaces)))
+    segmenter = pieces.Segmenter(small)
+    chunks = ["".join(rnd.choice("aaabbé😀日") for _ in range(rnd.randint(1, 20))) for _ in range(3_000)]
+    made, counts = segmenter.segment_many(chunks)
+    want = [segmenter.segment(c) for c in chunks]
+    assert counts.tolist() == [len(w) for w in want] and made.tolist() == [i for w in want for i in w]
+
+
 def test_decoding_of_any_ids(library, vocabulary):
     rnd, decoder = random.Random(13), pieces.Decoder(vocabulary)
     for _ in range(300):
